@@ -58,10 +58,19 @@ def batch_stats(counts: DataFrame, col: str = "event_count") -> DataFrame:
     )
 
 
-def with_zscore(counts: DataFrame, col: str = "event_count", out: str = "z_score") -> DataFrame:
-    """Adds ``z_score`` = (c - mean) / stddev, null when stddev is 0."""
-    st = moments(counts, col).select(F.struct("n", "s1", "q").alias("m")).scalar()
-    n, s1, q = st.getField("n"), st.getField("s1"), st.getField("q")
+def with_zscore(counts: DataFrame, col: str = "event_count", out: str = "z_score",
+                stats=None) -> DataFrame:
+    """Adds ``z_score`` = (c - mean) / stddev, null when stddev is 0.
+
+    ``stats`` is an already computed moments row (n, s1, q); without it the
+    moments come from a scalar subquery in the same plan."""
+    if stats is None:
+        st = moments(counts, col).select(F.struct("n", "s1", "q").alias("m")).scalar()
+        n, s1, q = st.getField("n"), st.getField("s1"), st.getField("q")
+    else:
+        n = F.lit(int(stats["n"])).cast("long")
+        s1 = F.lit(stats["s1"] if stats["s1"] is not None else 0).cast(EXACT)
+        q = F.lit(stats["q"] if stats["q"] is not None else 0).cast(EXACT)
     z = (F.col(col).cast("double") - mean_col(n, s1)) / stddev_col(n, s1, q)
     return counts.withColumn(out, F.when(_spread(n, s1, q) > 0, z))
 

@@ -23,25 +23,29 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.unionByName(new)
 
 
-def natural_key_dedup(df: DataFrame, keys: dict[str, Column], order_col: str,
+def natural_key_dedup(df: DataFrame, keys: dict[str, Column], order_col: str | None = None,
                       nullable: Sequence[str] = ()) -> DataFrame:
-    """First row (lowest ``order_col``) per natural key.
+    """First row per natural key: lowest ``order_col``, or the smallest whole
+    row when there is no order column (deterministic under replay).
 
     ``keys`` maps a name to the key expression (e.g. a truncated timestamp).
     Like a SQL unique constraint, a row with null in any ``nullable`` key
-    column never collides: it forms its own group. The first row is picked
-    with ``min(struct(order_col, ...))``, an ordinary aggregate that combines
-    map-side, so a hot key is reduced before the shuffle instead of being
-    sorted in one task.
+    column never collides: it is kept as is. The first row is picked with
+    ``min(struct(...))``, an ordinary aggregate that combines map-side, so a
+    hot key is reduced before the shuffle instead of being sorted in one task.
     """
     cols = df.columns
-    rest = [c for c in cols if c != order_col]
-    solo = None
-    if nullable:
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable])
-        solo = F.when(any_null, F.col(order_col))
+    first_cols = [order_col] + [c for c in cols if c != order_col] if order_col else cols
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable]) if nullable else None
     group = [expr.alias(f"_k_{name}") for name, expr in keys.items()]
-    if solo is not None:
-        group.append(solo.alias("_k__solo"))
-    first = df.groupBy(*group).agg(F.min(F.struct(order_col, *rest)).alias("_first"))
-    return first.select(*[F.col(f"_first.{c}").alias(c) for c in cols])
+    if any_null is not None and order_col:
+        # one aggregate: each null-key row is a group of its own
+        group.append(F.when(any_null, F.col(order_col)).alias("_k__solo"))
+        source, passthrough = df, None
+    elif any_null is not None:
+        source, passthrough = df.filter(~any_null), df.filter(any_null)
+    else:
+        source, passthrough = df, None
+    first = source.groupBy(*group).agg(F.min(F.struct(*first_cols)).alias("_first"))
+    out = first.select(*[F.col(f"_first.{c}").alias(c) for c in cols])
+    return out if passthrough is None else out.unionByName(passthrough)

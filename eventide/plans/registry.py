@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import batch as B
+from . import streams as S
 from .oracle import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -36,6 +37,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg_batch_audit": B.agg_batch_audit,
     "raw_batch_audit": B.raw_batch_audit,
     "log_tail": B.log_tail,
+    "stream_summary_5s": S.stream_summary_5s,
+    "stream_anomalies_1min": S.stream_anomalies_1min,
+    "stream_archive_parquet": S.stream_archive_parquet,
 }
 
 
