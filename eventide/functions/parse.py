@@ -26,10 +26,23 @@ def decode(value: Column) -> Column:
     return F.from_json(value.cast("string"), EVENT_SCHEMA, JSON_OPTIONS)
 
 
+def decoded(raw: DataFrame, value_col: str = "value", keep_value: bool = False) -> DataFrame:
+    """(value?, data): the payload parsed exactly once per row.
+
+    The struct comes out of a one-element ``inline`` generator. Filters on it
+    then stay above the Generate: without it Catalyst pushes them below the
+    projection by inlining ``from_json`` into every predicate (null check,
+    each required field), and the text would be parsed several times per row."""
+    value = F.col(value_col).cast("string")
+    one = F.inline(F.array(F.struct(value.alias("value"), F.from_json(value, EVENT_SCHEMA, JSON_OPTIONS).alias("data"))))
+    out = raw.select(one)
+    return out if keep_value else out.select("data")
+
+
 def parse_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Typed events plus ``event_time``; rows missing a required field dropped."""
     return (
-        raw.select(decode(F.col(value_col)).alias("data"))
+        decoded(raw, value_col)
         .filter(F.col("data").isNotNull())
         .select("data.*")
         .withColumn("event_time", F.col("timestamp"))
@@ -52,8 +65,7 @@ def reject_reason(data: Column) -> Column:
 
 def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """One pass: (value, data struct, reason); reason null for good rows."""
-    decoded = raw.select(F.col(value_col).cast("string").alias("value"), decode(F.col(value_col)).alias("data"))
-    return decoded.withColumn("reason", reject_reason(F.col("data")))
+    return decoded(raw, value_col, keep_value=True).withColumn("reason", reject_reason(F.col("data")))
 
 
 def good_rows(classified: DataFrame) -> DataFrame:

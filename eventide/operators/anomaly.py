@@ -58,21 +58,31 @@ def batch_stats(counts: DataFrame, col: str = "event_count") -> DataFrame:
     )
 
 
+def _z_params(n: Column, s1: Column, q: Column) -> list[Column]:
+    """mean, stddev and whether stddev > 0, from exact moments."""
+    return [mean_col(n, s1).alias("mean"), stddev_col(n, s1, q).alias("sd"),
+            (_spread(n, s1, q) > 0).alias("spread")]
+
+
 def with_zscore(counts: DataFrame, col: str = "event_count", out: str = "z_score",
                 stats=None) -> DataFrame:
     """Adds ``z_score`` = (c - mean) / stddev, null when stddev is 0.
 
-    ``stats`` is an already computed moments row (n, s1, q); without it the
-    moments come from a scalar subquery in the same plan."""
+    The exact integer work happens once, on the one-row moments; each row
+    only does double arithmetic. ``stats`` is an already computed moments row
+    (n, s1, q); without it the parameters come from a scalar subquery in the
+    same plan (Spark runs it once and reuses the count shuffle it reads)."""
     if stats is None:
-        st = moments(counts, col).select(F.struct("n", "s1", "q").alias("m")).scalar()
-        n, s1, q = st.getField("n"), st.getField("s1"), st.getField("q")
+        m = moments(counts, col)
+        p = m.select(F.struct(*_z_params(F.col("n"), F.col("s1"), F.col("q"))).alias("p")).scalar()
+        mean, sd, spread = p.getField("mean"), p.getField("sd"), p.getField("spread")
     else:
         n = F.lit(int(stats["n"])).cast("long")
         s1 = F.lit(stats["s1"] if stats["s1"] is not None else 0).cast(EXACT)
         q = F.lit(stats["q"] if stats["q"] is not None else 0).cast(EXACT)
-    z = (F.col(col).cast("double") - mean_col(n, s1)) / stddev_col(n, s1, q)
-    return counts.withColumn(out, F.when(_spread(n, s1, q) > 0, z))
+        mean, sd, spread = _z_params(n, s1, q)
+    z = (F.col(col).cast("double") - mean) / sd
+    return counts.withColumn(out, F.when(spread, z))
 
 
 def anomaly_flag(z: Column, count: Column, anomaly_threshold: int = ANOMALY_THRESHOLD,

@@ -20,10 +20,10 @@ SPOIL_REASONS = {0: "malformed_json", 1: "invalid_timestamp", 2: "invalid_user_i
                  3: "missing_action", 4: "empty_payload"}
 
 
-def _event_json(user_id: Column, action: Column, ts_text: Column) -> Column:
+def _event_json(ts_text: Column, action: Column) -> Column:
     return F.to_json(F.struct(
         F.col("event_id"),
-        user_id.alias("user_id"),
+        F.col("user_id"),
         F.col("product_id"),
         action.alias("action"),
         ts_text.alias("timestamp"),
@@ -40,17 +40,13 @@ def event_payloads(spark: SparkSession, sf_dir: str, spoil: bool = True) -> Data
     ev = typed_events(spark, sf_dir)
     full_ts = F.date_format(F.col("timestamp"), EVENT_TIMESTAMP_PATTERN)
     if not spoil:
-        return ev.select("event_id", "event_time",
-                         _event_json(F.col("user_id"), F.col("action"), full_ts).alias("value"))
+        return ev.select("event_id", "event_time", _event_json(full_ts, F.col("action")).alias("value"))
     m = F.col("event_id") % SPOIL_MODULUS
     no_fraction = F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
-    ts_text = F.when(m == 1, no_fraction).otherwise(full_ts)
-    action = F.when(m != 3, F.col("action"))
-    good = _event_json(F.col("user_id"), action, ts_text)
-    quoted = _event_json(F.col("user_id").cast("string"), action, ts_text)
-    text = F.when(m == 2, quoted).otherwise(good)
+    text = _event_json(F.when(m == 1, no_fraction).otherwise(full_ts), F.when(m != 3, F.col("action")))
     value = (F.when(m == 4, F.lit(""))
              .when(m == 0, F.expr("substring(_j, 1, length(_j) - 1)"))
+             .when(m == 2, F.regexp_replace(F.col("_j"), '"user_id":(-?[0-9]+)', '"user_id":"$1"'))
              .otherwise(F.col("_j")))
     return (ev.select("event_id", "event_time", text.alias("_j"))
             .select("event_id", "event_time", value.alias("value")))
