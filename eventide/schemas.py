@@ -33,6 +33,12 @@ RAW_TEXT_LIMITS = (("action", 50), ("device_id", 50), ("device_type", 50),
 RAW_NATURAL_KEY = ("user_id", "timestamp", "action", "device_id")
 
 SUMMARY_KEY = ("user_id", "window_start", "window_end")
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField("window_start", T.TimestampType()),
+    T.StructField("window_end", T.TimestampType()),
+    T.StructField("user_id", T.IntegerType()),
+    T.StructField("event_count", T.LongType()),
+])
 
 ALERT_FIELDS = ("user_id", "user_name", "region", "window_start", "window_end",
                 "event_count", "z_score", "severity", "detected_at")

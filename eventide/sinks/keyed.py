@@ -14,23 +14,38 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .batches import read_batches, write_batch
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], keep: str = "last"):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], keep: str = "last",
+                 schema: T.StructType | None = None):
         if keep not in ("last", "first"):
             raise ValueError("keep must be 'last' (upsert) or 'first' (insert-ignore)")
         self.spark, self.path, self.keys, self.keep = spark, path, list(keys), keep
+        self.schema = schema
 
     def write(self, batch: DataFrame, batch_id: int, tag: str = "main") -> None:
         write_batch(batch, self.path, tag, batch_id)
 
     def log(self) -> DataFrame:
-        return read_batches(self.spark, self.path)
+        """Every written row with its ``source`` tag and ``batch_id``; empty
+        (with the table schema) before the first non-empty batch."""
+        full = None
+        if self.schema is not None:
+            full = T.StructType(self.schema.fields + [T.StructField("source", T.StringType()),
+                                                      T.StructField("batch_id", T.LongType())])
+        try:
+            return read_batches(self.spark, self.path, schema=full)
+        except AnalysisException:
+            if full is None:
+                raise
+            return self.spark.createDataFrame([], full)
 
     def current(self, tag: str | None = None) -> DataFrame:
         log = self.log()

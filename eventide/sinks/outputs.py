@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Settings
-from ..schemas import SUMMARY_KEY
+from ..schemas import SUMMARY_KEY, SUMMARY_SCHEMA
 from .batches import write_batch
 from .keyed import KeyedTable
 
@@ -25,11 +25,13 @@ class Outputs:
 
     @property
     def summary(self) -> KeyedTable:
-        return KeyedTable(self.spark, self.path("user_activity_summary"), SUMMARY_KEY, keep="last")
+        return KeyedTable(self.spark, self.path("user_activity_summary"), SUMMARY_KEY, keep="last",
+                          schema=SUMMARY_SCHEMA)
 
     @property
     def anomalies(self) -> KeyedTable:
-        return KeyedTable(self.spark, self.path("anomalous_events"), SUMMARY_KEY, keep="first")
+        return KeyedTable(self.spark, self.path("anomalous_events"), SUMMARY_KEY, keep="first",
+                          schema=SUMMARY_SCHEMA)
 
     @property
     def archive_path(self) -> str:
