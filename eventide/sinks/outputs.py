@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..schemas import SUMMARY_KEY, SUMMARY_SCHEMA
@@ -38,11 +39,28 @@ class Outputs:
         return self.path("archive")
 
     def write_raw(self, rows: DataFrame, batch_id: int) -> None:
+        """Stored events; on files partitioned by (event_date, batch_id), so a
+        replay overwrites only what its first attempt wrote and readers prune
+        by date."""
         if self.raw_format == "jdbc":
             from .jdbc import append_rows
             append_rows(rows, self.settings, "user_events")
-        else:
-            write_batch(rows, self.path("user_events"), "raw", batch_id)
+            return
+        out = (rows.withColumn("event_date", F.to_date(F.col("timestamp")))
+               .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date", "batch_id").parquet(self.path("user_events")))
+
+    def stored_raw(self, first_day, last_day, exclude_batch: int) -> DataFrame | None:
+        """Stored events of [first_day, last_day] written by other batches
+        (partition-pruned); None before anything was stored."""
+        from pyspark.errors import AnalysisException
+        try:
+            stored = self.spark.read.parquet(self.path("user_events"))
+        except AnalysisException:
+            return None
+        return stored.filter(F.col("event_date").between(F.lit(first_day), F.lit(last_day))
+                             & (F.col("batch_id") != F.lit(int(exclude_batch))))
 
     def write_alerts(self, messages: DataFrame, tag: str, batch_id: int) -> None:
         """(key, value) alert messages to the alert topic, or JSON lines."""

@@ -37,11 +37,32 @@ def dedup_store_rows(rows: DataFrame) -> DataFrame:
     return natural_key_dedup(rows, keys, nullable=("device_id",))
 
 
+def drop_already_stored(rows: DataFrame, outputs: Outputs, batch_id: int, max_keys: int) -> DataFrame:
+    """Rows whose natural key another batch already stored are dropped.
+
+    Only the batch's days are read (partition pruning). The stored rows are
+    first reduced to those matching a key of this batch, with the batch keys
+    broadcast behind a row-bound check, so the stored day is scanned but never
+    shuffled; the final anti-join then meets only matches. An equi-join never
+    matches a null device_id, as a SQL unique key."""
+    span = rows.agg(F.min(F.to_date("timestamp")).alias("lo"), F.max(F.to_date("timestamp")).alias("hi")).first()
+    if span["lo"] is None:
+        return rows
+    stored = outputs.stored_raw(span["lo"], span["hi"], batch_id)
+    if stored is None:
+        return rows
+    keys = list(RAW_NATURAL_KEY)
+    batch_keys = bounded_broadcast(rows.select(*keys), max_keys)
+    seen = stored.select(*keys).join(batch_keys, keys, "left_semi")
+    return rows.join(seen, keys, "left_anti")
+
+
 class RawEventsHandler:
     """Classified event text -> stored rows, dead letters and a raw_batch record."""
 
-    def __init__(self, outputs: Outputs, settings: Settings):
+    def __init__(self, outputs: Outputs, settings: Settings, unique_across_batches: bool = True):
         self.outputs, self.settings = outputs, settings
+        self.unique_across_batches = unique_across_batches
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -51,7 +72,10 @@ class RawEventsHandler:
             parse_rejects = batch.filter(F.col("reason").isNotNull()).select("reason", F.col("value").alias("row"))
             rows = store_projection(good_rows(batch))
             valid, store_rejects = split_valid(rows, store_rules())
-            valid = dedup_store_rows(valid).persist(StorageLevel.MEMORY_AND_DISK)
+            valid = dedup_store_rows(valid)
+            if self.unique_across_batches and self.outputs.raw_format != "jdbc":
+                valid = drop_already_stored(valid, self.outputs, batch_id, self.settings.broadcast_max_rows)
+            valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self.outputs.write_raw(valid, batch_id)
                 rejects = dead_letters(parse_rejects, batch_id, ["row"]).unionByName(
@@ -74,9 +98,18 @@ class WindowBatchHandler:
     emitted anomalies meet the dimension, whose broadcast is decided once per
     query (the dimension is a snapshot loaded at start)."""
 
-    def __init__(self, spec: WindowSpec, users: DataFrame, outputs: Outputs, settings: Settings):
+    def __init__(self, spec: WindowSpec, users: DataFrame, outputs: Outputs, settings: Settings,
+                 alert_new_only: bool = False):
         self.spec, self.outputs, self.settings = spec, outputs, settings
         self.users = bounded_broadcast(user_columns(users), settings.broadcast_max_rows)
+        # False: alert on every emitted row of every batch, as the reference
+        # does; True: only anomalies the insert-ignore table did not hold yet.
+        self.alert_new_only = alert_new_only
+
+    def _new_only(self, enriched: DataFrame, batch_id: int) -> DataFrame:
+        earlier = self.outputs.anomalies.log().filter(
+            (F.col("source") == self.spec.name) & (F.col("batch_id") < F.lit(int(batch_id))))
+        return enriched.join(earlier.select(*SUMMARY_KEY), list(SUMMARY_KEY), "left_anti")
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         s, tag = self.settings, self.spec.name
@@ -91,7 +124,8 @@ class WindowBatchHandler:
             enriched = anomalies.join(self.users, "user_id", "left").persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self.outputs.anomalies.write(enriched.select(*SUMMARY_KEY, "event_count"), batch_id, tag)
-                self.outputs.write_alerts(A.alert_messages(A.alert_records(enriched)), tag, batch_id)
+                to_alert = self._new_only(enriched, batch_id) if self.alert_new_only else enriched
+                self.outputs.write_alerts(A.alert_messages(A.alert_records(to_alert)), tag, batch_id)
                 self.outputs.write_documents(A.anomaly_documents(enriched), tag, batch_id)
             finally:
                 enriched.unpersist()

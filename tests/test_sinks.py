@@ -86,6 +86,14 @@ def test_raw_handler_outputs_and_empty_guard(spark):
     assert json.loads(log[0]["payload"])["records"] == 1
     handler(batch, 1)  # replay
     assert spark.read.parquet(out.path("user_events")).count() == 1
+    # the same event in a later batch is already stored: not stored again
+    handler(batch, 2)
+    assert spark.read.parquet(out.path("user_events")).count() == 1
+    nodev = json.dumps({"user_id": 3, "product_id": 1000, "action": "view", "timestamp": "2024-01-01T00:00:03.000000"})
+    handler(classify(spark.createDataFrame([(nodev,), (nodev,)], "value string")), 3)
+    handler(classify(spark.createDataFrame([(nodev,)], "value string")), 4)
+    # null device ids never collide, within or across batches
+    assert spark.read.parquet(out.path("user_events")).filter("user_id = 3").count() == 3
 
 
 def test_window_handler_small_batches_never_emit(spark):
@@ -120,3 +128,21 @@ def test_window_handler_small_batches_never_emit(spark):
 def _exists(path):
     import os
     return os.path.exists(path)
+
+
+def test_alert_new_only_skips_known_anomalies(spark):
+    root = tempfile.mkdtemp(prefix="agg-new-")
+    out = Outputs(spark, root, Settings())
+    users = spark.createDataFrame([(1, "Ann", "EU")], "user_id int, name string, region string")
+    spec = WindowSpec("5s", "5 seconds", "5 seconds", "30 seconds")
+    handler = WindowBatchHandler(spec, users, out, Settings(), alert_new_only=True)
+    rows = [((T0 + dt.timedelta(seconds=5 * i), T0 + dt.timedelta(seconds=5 * i + 5)), i + 1, c)
+            for i, c in enumerate([100] + [1] * 10)]
+    b = spark.createDataFrame(rows, "window struct<start: timestamp, end: timestamp>, user_id int, event_count long")
+    handler(b, 0)
+    handler(b, 1)  # same anomaly again in a later trigger
+    per_batch = {r["batch_id"]: r["n"] for r in spark.read.text(out.path("alerts")).groupBy("batch_id").count()
+                 .withColumnRenamed("count", "n").collect()}
+    assert per_batch == {0: 1}
+    handler(b, 0)  # replay of the first batch still alerts (idempotent overwrite)
+    assert spark.read.text(out.path("alerts")).count() == 1
