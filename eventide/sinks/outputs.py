@@ -63,12 +63,12 @@ class Outputs:
                              & (F.col("batch_id") != F.lit(int(exclude_batch))))
 
     def write_alerts(self, messages: DataFrame, tag: str, batch_id: int) -> None:
-        """(key, value) alert messages to the alert topic, or JSON lines."""
+        """(key, value) alert messages: always one JSON line each in the alert
+        log folder, and to the alert topic when Kafka is configured."""
+        write_batch(messages.select("value"), self.path("alerts"), tag, batch_id, fmt="text")
         if self.alert_format == "kafka":
             from .kafka import write_topic
             write_topic(messages, self.settings, self.settings.alerts_topic)
-        else:
-            write_batch(messages.select("value"), self.path("alerts"), tag, batch_id, fmt="text")
 
     def write_documents(self, docs: DataFrame, tag: str, batch_id: int) -> None:
         write_batch(docs, self.path("documents"), tag, batch_id, fmt="json")

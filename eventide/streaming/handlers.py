@@ -40,19 +40,23 @@ def dedup_store_rows(rows: DataFrame) -> DataFrame:
 def drop_already_stored(rows: DataFrame, outputs: Outputs, batch_id: int, max_keys: int) -> DataFrame:
     """Rows whose natural key another batch already stored are dropped.
 
-    Only the batch's days are read (partition pruning). The stored rows are
-    first reduced to those matching a key of this batch, with the batch keys
-    broadcast behind a row-bound check, so the stored day is scanned but never
-    shuffled; the final anti-join then meets only matches. An equi-join never
-    matches a null device_id, as a SQL unique key."""
-    span = rows.agg(F.min(F.to_date("timestamp")).alias("lo"), F.max(F.to_date("timestamp")).alias("hi")).first()
-    if span["lo"] is None:
+    ``rows`` should be persisted: one aggregate gives its day span and row
+    count. Only those days of the store are read (partition pruning). The
+    stored rows are first reduced to those matching a key of this batch, with
+    the batch keys broadcast when the counted rows prove them small, so the
+    stored days are scanned but never shuffled; the final anti-join meets only
+    matches. An equi-join never matches a null device_id, as a SQL unique key."""
+    day = F.to_date("timestamp")
+    span = rows.agg(F.min(day).alias("lo"), F.max(day).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if not span["n"]:
         return rows
     stored = outputs.stored_raw(span["lo"], span["hi"], batch_id)
     if stored is None:
         return rows
     keys = list(RAW_NATURAL_KEY)
-    batch_keys = bounded_broadcast(rows.select(*keys), max_keys)
+    batch_keys = rows.select(*keys)
+    if span["n"] <= max_keys:
+        batch_keys = F.broadcast(batch_keys)
     seen = stored.select(*keys).join(batch_keys, keys, "left_semi")
     return rows.join(seen, keys, "left_anti")
 
@@ -72,10 +76,11 @@ class RawEventsHandler:
             parse_rejects = batch.filter(F.col("reason").isNotNull()).select("reason", F.col("value").alias("row"))
             rows = store_projection(good_rows(batch))
             valid, store_rejects = split_valid(rows, store_rules())
-            valid = dedup_store_rows(valid)
+            deduped = dedup_store_rows(valid).persist(StorageLevel.MEMORY_AND_DISK)
+            valid = deduped
             if self.unique_across_batches and self.outputs.raw_format != "jdbc":
-                valid = drop_already_stored(valid, self.outputs, batch_id, self.settings.broadcast_max_rows)
-            valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+                valid = drop_already_stored(deduped, self.outputs, batch_id, self.settings.broadcast_max_rows)
+                valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self.outputs.write_raw(valid, batch_id)
                 rejects = dead_letters(parse_rejects, batch_id, ["row"]).unionByName(
@@ -84,6 +89,7 @@ class RawEventsHandler:
                 self.outputs.write_log(as_log_records(raw_batch_record(valid, batch_id)), "raw", batch_id)
             finally:
                 valid.unpersist()
+                deduped.unpersist()
         finally:
             batch.unpersist()
 
