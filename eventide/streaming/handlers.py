@@ -129,10 +129,13 @@ class WindowBatchHandler:
             anomalies = AN.emitted(graded).drop("is_anomaly")
             enriched = anomalies.join(self.users, "user_id", "left").persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self.outputs.anomalies.write(enriched.select(*SUMMARY_KEY, "event_count"), batch_id, tag)
-                to_alert = self._new_only(enriched, batch_id) if self.alert_new_only else enriched
-                self.outputs.write_alerts(A.alert_messages(A.alert_records(to_alert)), tag, batch_id)
-                self.outputs.write_documents(A.anomaly_documents(enriched), tag, batch_id)
+                # an empty dynamic-overwrite write changes nothing, so most
+                # triggers (no anomaly) skip the three writes after one check
+                if not enriched.isEmpty():
+                    self.outputs.anomalies.write(enriched.select(*SUMMARY_KEY, "event_count"), batch_id, tag)
+                    to_alert = self._new_only(enriched, batch_id) if self.alert_new_only else enriched
+                    self.outputs.write_alerts(A.alert_messages(A.alert_records(to_alert)), tag, batch_id)
+                    self.outputs.write_documents(A.anomaly_documents(enriched), tag, batch_id)
             finally:
                 enriched.unpersist()
             record = agg_batch_record(graded, batch_id, tag, s.z_threshold)
