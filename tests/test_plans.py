@@ -60,7 +60,7 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_aggregate_shuffles_once_on_window_and_user(spark):
-    plan = physical(B.sliding_count_1min(spark, SF01))
+    plan = physical(B.tumbling_count_5s(spark, SF01))
     hashed = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
     assert len(hashed) == 1 and "window" in hashed[0]
     assert "partial_count" in plan  # map-side combine before the shuffle
@@ -86,3 +86,9 @@ def test_filters_reach_the_scan(spark):
     plan = physical(B.merge_upsert_q(spark, SF01))
     pushed = [l.split("PushedFilters: ")[1] for l in plan.splitlines() if "PushedFilters: " in l]
     assert any("Not(EqualTo(event_type,error))" in p for p in pushed), pushed
+
+
+def test_statistics_reuse_the_count_shuffle(spark):
+    df = B.zscore_1min(spark, SF01)
+    df.collect()
+    assert "ReusedExchange" in physical(df)

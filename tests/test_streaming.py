@@ -77,6 +77,8 @@ def test_shared_slide_above_window_fails_analysis(spark):
         .withColumn("event_time", F.col("event_time").cast("timestamp"))
     with pytest.raises(Exception):
         window_counts(df, "5 seconds", "30 seconds").collect()
+    with pytest.raises(Exception):
+        window_counts(df, "5 seconds", "30 seconds", watermark="30 seconds").collect()
 
 
 def test_stream_keys_equal_batch(spark):
