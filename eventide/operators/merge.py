@@ -30,22 +30,17 @@ def natural_key_dedup(df: DataFrame, keys: dict[str, Column], order_col: str | N
 
     ``keys`` maps a name to the key expression (e.g. a truncated timestamp).
     Like a SQL unique constraint, a row with null in any ``nullable`` key
-    column never collides: it is kept as is. The first row is picked with
-    ``min(struct(...))``, an ordinary aggregate that combines map-side, so a
-    hot key is reduced before the shuffle instead of being sorted in one task.
+    column never collides: such rows pass straight through without being
+    shuffled. The first row of a key is ``min(struct(...))``, an ordinary
+    aggregate that combines map-side, so a hot key is reduced before the
+    shuffle instead of being sorted in one task. ``df`` is read twice when
+    ``nullable`` is given: pass a scan or a persisted frame.
     """
     cols = df.columns
     first_cols = [order_col] + [c for c in cols if c != order_col] if order_col else cols
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable]) if nullable else None
+    keyed = df if any_null is None else df.filter(~any_null)
     group = [expr.alias(f"_k_{name}") for name, expr in keys.items()]
-    if any_null is not None and order_col:
-        # one aggregate: each null-key row is a group of its own
-        group.append(F.when(any_null, F.col(order_col)).alias("_k__solo"))
-        source, passthrough = df, None
-    elif any_null is not None:
-        source, passthrough = df.filter(~any_null), df.filter(any_null)
-    else:
-        source, passthrough = df, None
-    first = source.groupBy(*group).agg(F.min(F.struct(*first_cols)).alias("_first"))
+    first = keyed.groupBy(*group).agg(F.min(F.struct(*first_cols)).alias("_first"))
     out = first.select(*[F.col(f"_first.{c}").alias(c) for c in cols])
-    return out if passthrough is None else out.unionByName(passthrough)
+    return out if any_null is None else out.unionByName(df.filter(any_null))
