@@ -40,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_summary_5s": S.stream_summary_5s,
     "stream_anomalies_1min": S.stream_anomalies_1min,
     "stream_archive_parquet": S.stream_archive_parquet,
+    "stream_alerts_1min": S.stream_alerts_1min,
 }
 
 

@@ -71,3 +71,18 @@ LOG_SCHEMA = T.StructType([
     T.StructField("logged_at", T.TimestampType()),
     T.StructField("payload", T.StringType()),
 ])
+
+DOCUMENT_SCHEMA = T.StructType([
+    T.StructField("type", T.StringType()),
+    T.StructField("user_id", T.IntegerType()),
+    T.StructField("event_count", T.LongType()),
+    T.StructField("window_start", T.StringType()),
+    T.StructField("window_end", T.StringType()),
+    T.StructField("z_score", T.DoubleType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("user_name", T.StringType()),
+    T.StructField("region", T.StringType()),
+    T.StructField("logged_at", T.TimestampType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
