@@ -95,30 +95,54 @@ MERGE_INPUTS = with_(
     "s AS (SELECT * FROM a WHERE window_start >= TIMESTAMP '2024-01-15 00:00:00')",
 )
 
-# Per-trigger anomalies of the 1-minute stream: slice k of whole days is one
-# micro-batch; it changes every window its events touch, with the count of
-# all events of that window up to the end of the slice; statistics per batch.
-STREAM_BATCHES = with_(
+def stream_batches(length: str, starts: int, name: str = "em") -> list[str]:
+    """Per-trigger anomalies of a streamed window count: slice k of whole days
+    is one micro-batch; it changes every window its events touch, with the
+    count of all events of that window up to the end of the slice; statistics
+    are per batch. ``starts`` = windows per event (length / 5 s slide)."""
+    p = name + "_"
+    return [
+        f"{p}w AS (SELECT k, user_id, time_bucket(INTERVAL '5 seconds', ts, TIMESTAMP '1970-01-01')"
+        f" - i * INTERVAL '5 seconds' AS window_start FROM sl, range({starts}) t(i))",
+        f"{p}t AS (SELECT DISTINCT k, user_id, window_start FROM {p}w)",
+        f"""{p}g AS (SELECT t.k, t.user_id, t.window_start, t.window_start + INTERVAL '{length}' AS window_end,
+                COUNT(*) AS event_count
+         FROM {p}t t JOIN {p}w w ON w.user_id = t.user_id AND w.window_start = t.window_start AND w.k <= t.k
+         GROUP BY ALL)""",
+        f"{p}st AS (SELECT k, COUNT(*) AS n, SUM(event_count) AS s1, SUM(event_count * event_count) AS q FROM {p}g GROUP BY k)",
+        f"""{p}z AS (SELECT g.*, CASE WHEN n * q - s1 * s1 > 0
+                          THEN (event_count - s1 / n) / (sqrt(n * q - s1 * s1) / n) END AS z_score
+          FROM {p}g g JOIN {p}st USING (k))""",
+        f"""{name} AS (SELECT user_id, window_start, window_end, event_count, z_score,
+                  CASE WHEN z_score > 5 THEN 'high' WHEN z_score > 3 THEN 'medium' ELSE 'low' END AS severity
+          FROM {p}z WHERE event_count > 5 OR coalesce(z_score >= 3.0, false))""",
+    ]
+
+
+STREAM_BASE = [
     EV,
     f"gd AS (SELECT * FROM ev {GOOD})",
     "b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM gd)",
     """sl AS (SELECT gd.*, CAST(floor(date_diff('day', lo, CAST(ts AS DATE))
                 / ceil((date_diff('day', lo, hi) + 1) / 4.0)) AS INTEGER) AS k FROM gd, b)""",
-    """w AS (SELECT k, user_id,
-                time_bucket(INTERVAL '5 seconds', ts, TIMESTAMP '1970-01-01') - i * INTERVAL '5 seconds' AS window_start
-         FROM sl, range(12) t(i))""",
-    "touched AS (SELECT DISTINCT k, user_id, window_start FROM w)",
-    """g AS (SELECT t.k, t.user_id, t.window_start, t.window_start + INTERVAL '1 minute' AS window_end, COUNT(*) AS event_count
-         FROM touched t JOIN w ON w.user_id = t.user_id AND w.window_start = t.window_start AND w.k <= t.k
-         GROUP BY ALL)""",
-    "st AS (SELECT k, COUNT(*) AS n, SUM(event_count) AS s1, SUM(event_count * event_count) AS q FROM g GROUP BY k)",
-    """zz AS (SELECT g.*, CASE WHEN n * q - s1 * s1 > 0
-                          THEN (event_count - s1 / n) / (sqrt(n * q - s1 * s1) / n) END AS z_score
-          FROM g JOIN st USING (k))""",
-    """em AS (SELECT *, CASE WHEN z_score > 5 THEN 'high' WHEN z_score > 3 THEN 'medium' ELSE 'low' END AS severity
-          FROM zz WHERE event_count > 5 OR coalesce(z_score >= 3.0, false))""",
-    US,
-)
+]
+STREAM_ALERT_COLS = f"""e.user_id, {ISO.format(c='e.window_start')} AS window_start, {ISO.format(c='e.window_end')} AS window_end,
+       e.event_count, e.z_score, e.severity, us.user_name, us.region"""
+
+
+def stream_alerts(length: str, starts: int) -> str:
+    return with_(*STREAM_BASE, *stream_batches(length, starts), US) + f"""
+SELECT {STREAM_ALERT_COLS} FROM em e LEFT JOIN us USING (user_id) WHERE e.severity IN ('high', 'medium')"""
+
+
+STREAM_NOTIFICATIONS = with_(*STREAM_BASE, *stream_batches("5 seconds", 1, "em5"),
+                             *stream_batches("1 minute", 12, "em60"), US) + f"""
+SELECT user_id, window_start, window_end, severity, {MESSAGE} AS message FROM (
+  SELECT {STREAM_ALERT_COLS} FROM em5 e LEFT JOIN us USING (user_id)
+  UNION ALL
+  SELECT {STREAM_ALERT_COLS} FROM em60 e LEFT JOIN us USING (user_id)) a
+WHERE severity IN ('high', 'medium')"""
+
 
 SQL: dict[str, str] = {
     "tumbling_count_5s": with_(EV, FIVE) + "SELECT * FROM g",
@@ -193,10 +217,9 @@ SELECT logged_at, event_id, type, payload, max(logged_at) OVER () AS next_cursor
   WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' ORDER BY ts DESC, event_id DESC LIMIT 10) p""",
     "stream_summary_5s": with_(EV, tumbling("g", "5 seconds", GOOD)) + "SELECT * FROM g",
     "stream_anomalies_1min": with_(EV, SLIDING.replace("FROM ev, range(12)", f"FROM (SELECT * FROM ev {GOOD}) ev, range(12)"), STATS) + "SELECT * FROM em",
-    "stream_alerts_1min": STREAM_BATCHES + f"""
-SELECT em.user_id, {ISO.format(c='em.window_start')} AS window_start, {ISO.format(c='em.window_end')} AS window_end,
-       em.event_count, em.z_score, em.severity, us.user_name, us.region
-FROM em LEFT JOIN us USING (user_id) WHERE em.severity IN ('high', 'medium')""",
+    "stream_alerts_1min": stream_alerts("1 minute", 12),
+    "stream_alerts_5s": stream_alerts("5 seconds", 1),
+    "stream_notifications": STREAM_NOTIFICATIONS,
     "stream_archive_parquet": with_(EV) + f"""
 SELECT user_id, product_id, action, ts AS "timestamp", device_id, ts AS event_time FROM ev {GOOD}""",
 }

@@ -41,6 +41,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_anomalies_1min": S.stream_anomalies_1min,
     "stream_archive_parquet": S.stream_archive_parquet,
     "stream_alerts_1min": S.stream_alerts_1min,
+    "stream_alerts_5s": S.stream_alerts_5s,
+    "stream_notifications": S.stream_notifications,
 }
 
 

@@ -19,12 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..schemas import DOCUMENT_SCHEMA, MESSAGE_SCHEMA
 from ..operators import anomaly as AN
 from ..session import scratch_path
 from ..sinks.outputs import Outputs
 from ..sources.payloads import event_payloads
 from ..sources.tables import users_dimension
+from ..sources.streams import file_stream
 from ..streaming.job import run_until_done, start_queries
+from ..streaming.notify import start_notifier
 
 SLICES = 4
 _RUNS: dict[tuple[str, str], Outputs] = {}
@@ -62,6 +65,11 @@ def run_stream(spark: SparkSession, sf_dir: str, settings: Settings | None = Non
         run_until_done(start_queries(spark, source, users, outputs, settings, ckpt, available_now=True))
         processing += time.perf_counter() - t0
     users.unpersist()
+    # the notifier consumes the alert log the job wrote, as it would the topic
+    t0 = time.perf_counter()
+    alerts = file_stream(spark, outputs.path("alerts") + "/source=*/batch_id=*")
+    start_notifier(alerts, outputs.path("notifications"), f"{ckpt}/notify", available_now=True).awaitTermination()
+    processing += time.perf_counter() - t0
     outputs.processing_seconds = processing  # time spent in the streaming queries
     return outputs
 
@@ -95,11 +103,25 @@ def stream_archive_parquet(spark, sf_dir):
     return arch.select("user_id", "product_id", "action", *_ntz("timestamp"), "device_id", *_ntz("event_time"))
 
 
-def stream_alerts_1min(spark, sf_dir):
-    """Anomalies as the 1-minute query emitted them, trigger by trigger: each
+def _stream_alerts(spark, sf_dir, tag):
+    """Anomalies as a window query emitted them, trigger by trigger: each
     batch graded against the statistics of the rows it changed."""
-    from ..schemas import DOCUMENT_SCHEMA
     out = stream_outputs(spark, sf_dir)
-    docs = spark.read.schema(DOCUMENT_SCHEMA).json(out.path("documents")).filter(F.col("source") == "1min")
+    docs = spark.read.schema(DOCUMENT_SCHEMA).json(out.path("documents")).filter(F.col("source") == tag)
     return docs.select("user_id", "window_start", "window_end", "event_count", "z_score", "severity",
                        "user_name", "region")
+
+
+def stream_alerts_1min(spark, sf_dir):
+    return _stream_alerts(spark, sf_dir, "1min")
+
+
+def stream_alerts_5s(spark, sf_dir):
+    return _stream_alerts(spark, sf_dir, "5s")
+
+
+def stream_notifications(spark, sf_dir):
+    """Messages the notifier rendered from the alert log of both windows."""
+    out = stream_outputs(spark, sf_dir)
+    msgs = spark.read.schema(MESSAGE_SCHEMA).json(out.path("notifications") + "/messages")
+    return msgs.select("user_id", "window_start", "window_end", "severity", "message")

@@ -86,3 +86,13 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
+
+MESSAGE_SCHEMA = T.StructType([
+    T.StructField("user_id", T.IntegerType()),
+    T.StructField("window_start", T.StringType()),
+    T.StructField("window_end", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
