@@ -220,6 +220,16 @@ SELECT logged_at, event_id, type, payload, max(logged_at) OVER () AS next_cursor
     "stream_alerts_1min": stream_alerts("1 minute", 12),
     "stream_alerts_5s": stream_alerts("5 seconds", 1),
     "stream_notifications": STREAM_NOTIFICATIONS,
+    "stream_dead_letters": """
+SELECT CASE event_id % 50 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'invalid_timestamp'
+            WHEN 2 THEN 'invalid_user_id' WHEN 3 THEN 'missing_action' ELSE 'empty_payload' END AS reason,
+       COUNT(*) AS rejected
+FROM events WHERE event_id % 50 IN (0, 1, 2, 3, 4) GROUP BY 1""",
+    "stream_raw_store": with_(EV) + f"""
+SELECT user_id, product_id, action, date_trunc('second', ts) AS "timestamp", device_id,
+       CAST(NULL AS VARCHAR) AS device_type, CAST(NULL AS VARCHAR) AS location,
+       CAST(NULL AS VARCHAR) AS user_segment, CAST(NULL AS VARCHAR) AS ip_address
+FROM ev {GOOD}""",
     "stream_archive_parquet": with_(EV) + f"""
 SELECT user_id, product_id, action, ts AS "timestamp", device_id, ts AS event_time FROM ev {GOOD}""",
 }

@@ -43,6 +43,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_alerts_1min": S.stream_alerts_1min,
     "stream_alerts_5s": S.stream_alerts_5s,
     "stream_notifications": S.stream_notifications,
+    "stream_raw_store": S.stream_raw_store,
+    "stream_dead_letters": S.stream_dead_letters,
 }
 
 

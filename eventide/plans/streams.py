@@ -125,3 +125,20 @@ def stream_notifications(spark, sf_dir):
     out = stream_outputs(spark, sf_dir)
     msgs = spark.read.schema(MESSAGE_SCHEMA).json(out.path("notifications") + "/messages")
     return msgs.select("user_id", "window_start", "window_end", "severity", "message")
+
+
+def stream_raw_store(spark, sf_dir):
+    """Events the raw query stored over all triggers (9 columns, one-line
+    text, whole seconds, unique on the natural key)."""
+    out = stream_outputs(spark, sf_dir)
+    raw = spark.read.parquet(out.path("user_events"))
+    return raw.select("user_id", "product_id", "action", *_ntz("timestamp"), "device_id", "device_type",
+                      "location", "user_segment", "ip_address")
+
+
+def stream_dead_letters(spark, sf_dir):
+    """Rejected rows per reason, over all triggers of the raw query."""
+    out = stream_outputs(spark, sf_dir)
+    dl = spark.read.schema("reason string, batch_id long, row string, reported_at timestamp, source string") \
+        .json(out.path("dead_letters"))
+    return dl.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
