@@ -99,10 +99,10 @@ class WindowBatchHandler:
     anomalies (insert-ignore), alerts, documents and an agg_batch record.
 
     Statistics are over the rows of this micro-batch, as in the reference.
-    The batch is persisted once and every output reads it; its moments
-    come back as one row (three numbers); only the
-    emitted anomalies meet the dimension, whose broadcast is decided once per
-    query (the dimension is a snapshot loaded at start)."""
+    The batch is persisted once and every output reads it; its moments come
+    back as one row of three numbers. Only emitted anomalies meet the
+    dimension, whose broadcast is decided once per query (the dimension is a
+    snapshot loaded at start)."""
 
     def __init__(self, spec: WindowSpec, users: DataFrame, outputs: Outputs, settings: Settings,
                  alert_new_only: bool = False):
