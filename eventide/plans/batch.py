@@ -22,7 +22,7 @@ from ..operators.tail import tail_log
 from ..operators.windows import flatten_window, window_counts
 from ..schemas import SUMMARY_KEY
 from ..sources.payloads import event_payloads
-from ..sources.tables import activity, table, typed_events, users_dimension
+from ..sources.tables import activity, fact_table, table, typed_events, users_dimension
 
 DAY = "1 day"
 TAIL_CURSOR = "2024-01-15 00:00:00"
@@ -167,14 +167,14 @@ def raw_store_projection(spark, sf_dir):
 
 
 def text_normalise(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = fact_table(spark, sf_dir, "documents")
     return docs.select("doc_id", flatten_whitespace(F.col("text")).alias("text"))
 
 
 def _documents_as_rows(spark, sf_dir):
     """Documents in the stored-event shape: whole text as location, source as
     user_segment, lang as device_type; time from the id."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")  # one length check per row: not worth a shuffle
     return docs.select(
         F.col("doc_id").cast("int").alias("user_id"),
         F.col("n_chars").cast("int").alias("product_id"),
