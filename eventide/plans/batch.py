@@ -208,7 +208,7 @@ def natural_key_dedup_q(spark, sf_dir):
 
 def _merge_inputs(spark, sf_dir):
     act = typed_events(spark, sf_dir)
-    older = act.filter((F.col("action") != "error") & (F.col("user_id") % 2 == 0)).select("user_id", "event_time")
+    older = act.filter(F.col("action") != "error").select("user_id", "event_time")
     target = flatten_window(window_counts(older, DAY))
     source = day_counts(spark, sf_dir).filter(F.col("window_start") >= F.lit(MERGE_FROM).cast("timestamp_ntz"))
     return target, source

@@ -90,7 +90,7 @@ CONSTRAINTS = "\nUNION ALL\n".join(
 
 MERGE_INPUTS = with_(
     EV,
-    tumbling("t", "1 day", "WHERE action <> 'error' AND user_id % 2 = 0"),
+    tumbling("t", "1 day", "WHERE action <> 'error'"),
     tumbling("a", "1 day"),
     "s AS (SELECT * FROM a WHERE window_start >= TIMESTAMP '2024-01-15 00:00:00')",
 )
