@@ -94,3 +94,21 @@ def test_stream_keys_equal_batch(spark):
     streamed = stream_summary_5s(spark, SF001)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_tail_of_the_job_audit_log(spark):
+    from conftest import SF001
+    from eventide.operators.tail import tail_log
+    from eventide.plans.streams import stream_outputs
+    from eventide.schemas import LOG_SCHEMA
+
+    out = stream_outputs(spark, SF001)
+    log = spark.read.schema(LOG_SCHEMA).json(out.path("logs"))
+    types = {r["type"] for r in log.select("type").distinct().collect()}
+    assert types == {"raw_batch", "agg_batch"}
+    first = log.agg(F.min("logged_at")).first()[0]
+    page = tail_log(log, first, n=10).collect()
+    assert len(page) == 10
+    times = [r["logged_at"] for r in page]
+    assert times == sorted(times) and page[0]["next_cursor"] == times[-1]
+    assert times[-1] == log.agg(F.max("logged_at")).first()[0]
