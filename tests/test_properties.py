@@ -43,3 +43,22 @@ def test_zscore_matches_population_formula(spark, counts):
     # a batch of n rows cannot exceed z = sqrt(n - 1)
     zs = [z for z in got.values() if z is not None]
     assert all(z <= math.sqrt(len(counts) - 1) + 1e-9 for z in zs)
+
+
+def test_fixture_counts_sf001(spark):
+    """Expected counts of FIXTURES section 4 at sf0.01."""
+    from conftest import SF01
+
+    def grades(counts):
+        g = AN.grade(AN.with_zscore(counts))
+        row = g.agg(
+            F.count(F.lit(1)).alias("groups"), F.max("event_count").alias("max"),
+            F.sum(F.when(g.is_anomaly & (g.severity == "high"), 1).otherwise(0)).alias("high"),
+            F.sum(F.when(g.is_anomaly & (g.severity == "medium"), 1).otherwise(0)).alias("medium"),
+            F.sum(F.when((g.event_count > 5) & ~F.coalesce(g.z_score > 3, F.lit(False)), 1).otherwise(0)).alias("capped"),
+        ).first()
+        return tuple(row)
+
+    assert grades(B.tumbling_count_5s(spark, SF01)) == (10000, 1, 0, 0, 0)
+    assert grades(B.sliding_count_1min(spark, SF01)) == (119922, 2, 78, 0, 0)
+    assert grades(B.day_counts(spark, SF01)) == (4006, 10, 1, 31, 90)
