@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (e.g. one file with one row group), so per-row work after it (JSON,
-    window expansion) runs on every core. A scan of many files already has
-    enough splits and is left alone, so at scale this adds no shuffle.
-    Filters and column pruning still reach the scan below the repartition."""
+    cores, so per-row work after it (JSON, window expansion) runs on every core.
+
+    Spark already shrinks file splits to reach ``defaultParallelism``
+    partitions (``spark.sql.files.minPartitionNum``); it yields fewer only when
+    the input is small or its row groups cannot be split (the test files hold
+    one row group each). Then the shuffle is either cheap or the only way to
+    parallelise; a large, splittable input is left alone, so at scale this
+    adds no shuffle. Filters and column pruning still reach the scan."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -146,3 +146,12 @@ def test_alert_new_only_skips_known_anomalies(spark):
     assert per_batch == {0: 1}
     handler(b, 0)  # replay of the first batch still alerts (idempotent overwrite)
     assert spark.read.text(out.path("alerts")).count() == 1
+
+
+def test_keyed_compact_equals_current(spark):
+    root = tempfile.mkdtemp(prefix="compact-")
+    t = KeyedTable(spark, f"{root}/t", KEY, keep="last")
+    t.write(summary(spark, [(1, 0, 1), (2, 0, 1)]), 0)
+    t.write(summary(spark, [(1, 0, 5)]), 1)
+    snap = t.compact(f"{root}/snapshot")
+    assert as_set(snap) == as_set(t.current()) == {(1, T0, 5), (2, T0, 1)}
