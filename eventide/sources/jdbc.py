@@ -33,5 +33,9 @@ def read_users(spark: SparkSession, settings: Settings, table: str = "users",
     if partitions and lower is not None and upper is not None:
         reader = (reader.option("partitionColumn", "user_id").option("numPartitions", str(partitions))
                   .option("lowerBound", str(lower)).option("upperBound", str(upper)))
-    users = reader.load()
+    return with_created_default(reader.load())
+
+
+def with_created_default(users: DataFrame) -> DataFrame:
+    """Column default of the store: a missing ``created_at`` is the load time."""
     return users.withColumn("created_at", F.coalesce(F.col("created_at"), F.current_timestamp()))
