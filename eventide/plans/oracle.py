@@ -113,7 +113,7 @@ def stream_batches(length: str, starts: int, name: str = "em") -> list[str]:
         f"""{p}z AS (SELECT g.*, CASE WHEN n * q - s1 * s1 > 0
                           THEN (event_count - s1 / n) / (sqrt(n * q - s1 * s1) / n) END AS z_score
           FROM {p}g g JOIN {p}st USING (k))""",
-        f"""{name} AS (SELECT user_id, window_start, window_end, event_count, z_score,
+        f"""{name} AS (SELECT k, user_id, window_start, window_end, event_count, z_score,
                   CASE WHEN z_score > 5 THEN 'high' WHEN z_score > 3 THEN 'medium' ELSE 'low' END AS severity
           FROM {p}z WHERE event_count > 5 OR coalesce(z_score >= 3.0, false))""",
     ]
@@ -135,6 +135,18 @@ def stream_alerts(length: str, starts: int) -> str:
 SELECT {STREAM_ALERT_COLS} FROM em e LEFT JOIN us USING (user_id) WHERE e.severity IN ('high', 'medium')"""
 
 
+def _audit(name: str, tag: str) -> str:
+    p = name + "_"
+    return f"""SELECT '{tag}' AS window_type, st.n AS records,
+       CAST(COUNT(e.k) FILTER (WHERE e.severity IN ('high', 'medium')) AS BIGINT) AS anomalies,
+       st.s1 / st.n AS mean_event_count, sqrt(st.n * st.q - st.s1 * st.s1) / st.n AS stddev_event_count,
+       3.0::DOUBLE AS z_threshold
+FROM {p}st st LEFT JOIN {name} e USING (k) GROUP BY st.k, st.n, st.s1, st.q"""
+
+
+STREAM_AGG_AUDIT = with_(*STREAM_BASE, *stream_batches("5 seconds", 1, "em5"),
+                         *stream_batches("1 minute", 12, "em60")) + _audit("em5", "5s") + "\nUNION ALL\n" + _audit("em60", "1min")
+
 STREAM_NOTIFICATIONS = with_(*STREAM_BASE, *stream_batches("5 seconds", 1, "em5"),
                              *stream_batches("1 minute", 12, "em60"), US) + f"""
 SELECT user_id, window_start, window_end, severity, {MESSAGE} AS message FROM (
@@ -220,6 +232,7 @@ SELECT logged_at, event_id, type, payload, max(logged_at) OVER () AS next_cursor
     "stream_alerts_1min": stream_alerts("1 minute", 12),
     "stream_alerts_5s": stream_alerts("5 seconds", 1),
     "stream_notifications": STREAM_NOTIFICATIONS,
+    "stream_agg_audit": STREAM_AGG_AUDIT,
     "stream_dead_letters": """
 SELECT CASE event_id % 50 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'invalid_timestamp'
             WHEN 2 THEN 'invalid_user_id' WHEN 3 THEN 'missing_action' ELSE 'empty_payload' END AS reason,

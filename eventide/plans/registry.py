@@ -45,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_notifications": S.stream_notifications,
     "stream_raw_store": S.stream_raw_store,
     "stream_dead_letters": S.stream_dead_letters,
+    "stream_agg_audit": S.stream_agg_audit,
 }
 
 

@@ -142,3 +142,13 @@ def stream_dead_letters(spark, sf_dir):
     dl = spark.read.schema("reason string, batch_id long, row string, reported_at timestamp, source string") \
         .json(out.path("dead_letters"))
     return dl.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
+
+
+def stream_agg_audit(spark, sf_dir):
+    """agg_batch records the window queries logged, one per data trigger."""
+    from ..schemas import LOG_SCHEMA
+    out = stream_outputs(spark, sf_dir)
+    log = spark.read.schema(LOG_SCHEMA).json(out.path("logs")).filter(F.col("type") == "agg_batch")
+    rec = F.from_json("payload", "window_type string, records long, anomalies long, mean_event_count double, "
+                                 "stddev_event_count double, z_threshold double")
+    return log.select(rec.alias("r")).select("r.*")
