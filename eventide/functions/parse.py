@@ -34,8 +34,7 @@ def decoded(raw: DataFrame, value_col: str = "value", keep_value: bool = False)
     projection by inlining ``from_json`` into every predicate (null check,
     each required field), and the text would be parsed several times per row."""
     value = F.col(value_col).cast("string")
-    one = F.inline(F.array(F.struct(value.alias("value"), F.from_json(value, EVENT_SCHEMA, JSON_OPTIONS).alias("data"))))
-    out = raw.select(one)
+    out = raw.select(F.inline(F.array(F.struct(value.alias("value"), decode(value).alias("data")))))
     return out if keep_value else out.select("data")
 
 
