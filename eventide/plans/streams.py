@@ -75,10 +75,20 @@ def run_stream(spark: SparkSession, sf_dir: str, settings: Settings | None = Non
 
 
 def stream_outputs(spark: SparkSession, sf_dir: str) -> Outputs:
-    """One run per session and scale; the stream keys read its outputs."""
+    """One run per session and scale; the stream keys read its outputs.
+
+    Streaming plans get no adaptive coalescing and the state keeps the
+    partition count of its first run, so the run uses one shuffle partition
+    per core (restoring the caller's setting afterwards)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        _RUNS[key] = run_stream(spark, sf_dir)
+        conf = "spark.sql.shuffle.partitions"
+        before = spark.conf.get(conf)
+        spark.conf.set(conf, str(spark.sparkContext.defaultParallelism))
+        try:
+            _RUNS[key] = run_stream(spark, sf_dir)
+        finally:
+            spark.conf.set(conf, before)
     return _RUNS[key]
 
 
