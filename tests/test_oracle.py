@@ -34,3 +34,15 @@ def test_entry_smoke(spark):
                           "user_name", "region"]
     problems, _ = compare(df, duck(SF001), entry_mod.oracle_sql()["enriched_anomalies_1min"])
     assert not problems, problems
+
+
+@pytest.fixture(scope="module")
+def con_small():
+    return duck(SF001)
+
+
+@pytest.mark.parametrize("key", [k for k in KEYS if not k.startswith("stream_")])
+def test_query_matches_oracle_sf0001(spark, con_small, key):
+    df = entry_mod.queries()[key](spark, SF001)
+    problems, _ = compare(df, con_small, entry_mod.oracle_sql()[key])
+    assert not problems, f"{key}: {problems}"
