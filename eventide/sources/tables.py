@@ -29,10 +29,12 @@ def spread(df: DataFrame) -> DataFrame:
     one row group each). Then the shuffle is either cheap or the only way to
     parallelise; a large, splittable input is left alone, so at scale this
     adds no shuffle. Filters and column pruning still reach the scan."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        coarse = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    return df.repartition(target) if coarse else df
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
