@@ -31,6 +31,7 @@ def cluster_session(app_name: str = "eventide") -> SparkSession:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+             .config("spark.sql.files.maxPartitionBytes", "256m")
              .config("spark.sql.parquet.compression.codec", "snappy")
              .config("spark.sql.streaming.stateStore.providerClass",
                      "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

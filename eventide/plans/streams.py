@@ -37,6 +37,8 @@ def day_slices(payloads: DataFrame, n: int) -> list[tuple]:
     """Up to n consecutive [first_day, next_first_day) ranges of whole days,
     ceil(days / n) days each, covering the table (one aggregate row)."""
     lo, hi = payloads.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+    if lo is None:
+        return []
     days = (hi - lo).days + 1
     width = -(-days // n)
     starts = [lo + dt.timedelta(days=width * i) for i in range(n) if width * i < days]
