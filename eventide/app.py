@@ -24,12 +24,19 @@ from .streaming.notify import start_notifier
 
 
 def cluster_session(app_name: str = "eventide") -> SparkSession:
-    """Session for spark-submit: master and sizes come from the submit."""
+    """Session for spark-submit: master and sizes come from the submit.
+
+    Static broadcast decisions rest on file-size estimates, which are not a
+    bound (compressed Parquet understates memory size), so they are off: a
+    join side is broadcast only behind a counted row bound (``bounded_broadcast``)
+    or by AQE after the shuffle measured it below 64 MB."""
     spark = (SparkSession.builder.appName(app_name)
              .config("spark.ui.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+             .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
              .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
              .config("spark.sql.files.maxPartitionBytes", "256m")
              .config("spark.sql.parquet.compression.codec", "snappy")
