@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: every source row, plus target rows whose key the source lacks
-    (new value replaces old). Source keys are unique per batch."""
+    (new value replaces old). Source keys are unique per batch.
+
+    The anti-join lets Spark broadcast the (small) source keys so a large
+    target is never shuffled; the source is read twice (rows and keys), so
+    pass a persisted micro-batch or a cheap plan."""
     keep = target.join(source.select(*keys), list(keys), "left_anti")
     return source.unionByName(keep)
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-ignore: every target row, plus source rows with a new key
-    (the first row stored for a key stays)."""
+    (the first row stored for a key stays). Same join shape as
+    ``merge_upsert`` with the roles swapped."""
     new = source.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(new)
 
