@@ -13,6 +13,7 @@ one data micro-batch, so per-batch results are known in closed form too.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from ..streaming.notify import start_notifier
 
 SLICES = 4
 _RUNS: dict[tuple[str, str], Outputs] = {}
+_RUNS_LOCK = threading.Lock()
 
 
 def day_slices(payloads: DataFrame, n: int) -> list[tuple]:
@@ -83,15 +85,16 @@ def stream_outputs(spark: SparkSession, sf_dir: str) -> Outputs:
     partition count of its first run, so the run uses one shuffle partition
     per core (restoring the caller's setting afterwards)."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
-        conf = "spark.sql.shuffle.partitions"
-        before = spark.conf.get(conf)
-        spark.conf.set(conf, str(spark.sparkContext.defaultParallelism))
-        try:
-            _RUNS[key] = run_stream(spark, sf_dir)
-        finally:
-            spark.conf.set(conf, before)
-    return _RUNS[key]
+    with _RUNS_LOCK:
+        if key not in _RUNS:
+            conf = "spark.sql.shuffle.partitions"
+            before = spark.conf.get(conf)
+            spark.conf.set(conf, str(spark.sparkContext.defaultParallelism))
+            try:
+                _RUNS[key] = run_stream(spark, sf_dir)
+            finally:
+                spark.conf.set(conf, before)
+        return _RUNS[key]
 
 
 def _ntz(*cols):
