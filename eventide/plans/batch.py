@@ -194,6 +194,8 @@ def constraint_violations(spark, sf_dir):
 
 
 def natural_key_dedup_q(spark, sf_dir):
+    """The store's key cuts time to seconds, where ``events`` has no
+    duplicates; keying on the hour gives the operator duplicates to remove."""
     ev = typed_events(spark, sf_dir).select("event_id", "user_id", "product_id", "action", "timestamp", "device_id")
     keys = {
         "user_id": F.col("user_id"),
@@ -207,6 +209,9 @@ def natural_key_dedup_q(spark, sf_dir):
 # ---------------------------------------------------------------- merges
 
 def _merge_inputs(spark, sf_dir):
+    """target: daily counts without 'error' events (an older state of the
+    table); source: complete daily counts from 2024-01-15 on. Overlapping keys
+    carry different counts, so upsert and insert-ignore differ."""
     act = typed_events(spark, sf_dir)
     older = act.filter(F.col("action") != "error").select("user_id", "event_time")
     target = flatten_window(window_counts(older, DAY))
