@@ -24,6 +24,10 @@ RAW_WRITE_BATCH_ROWS = 5000
 ALERT_POLL_RECORDS = 100
 
 
+def _flag(text: str) -> bool:
+    return text.strip().lower() in ("1", "true", "yes", "on")
+
+
 def _env(name: str, default, cast=str):
     raw = os.environ.get(name)
     return default if raw is None or raw == "" else cast(raw)
@@ -57,6 +61,11 @@ class Settings:
     raw_write_batch_rows: int = RAW_WRITE_BATCH_ROWS
     # Rows above which the user dimension is not broadcast (sort-merge instead).
     broadcast_max_rows: int = 500_000
+    # Alert only anomalies the insert-ignore table did not hold yet (the
+    # reference alerts on every emitted row of every trigger).
+    alert_new_only: bool = False
+    # Drop raw events whose natural key an earlier batch already stored.
+    raw_unique_across_batches: bool = True
     windows: tuple[WindowSpec, ...] = field(
         default=(
             WindowSpec("5s", SHORT_WINDOW, SHORT_WINDOW, SHORT_WATERMARK),
@@ -80,6 +89,8 @@ class Settings:
             "anomaly_threshold": _env("ANOMALY_THRESHOLD", cls.anomaly_threshold, int),
             "z_threshold": _env("Z_THRESHOLD", cls.z_threshold, float),
             "trigger": _env("PROCESSING_TRIGGER", cls.trigger),
+            "alert_new_only": _env("ALERT_NEW_ONLY", cls.alert_new_only, _flag),
+            "raw_unique_across_batches": _env("RAW_UNIQUE_ACROSS_BATCHES", cls.raw_unique_across_batches, _flag),
         }
         known = {f.name for f in fields(cls)}
         env.update({k: v for k, v in overrides.items() if k in known})

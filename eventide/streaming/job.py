@@ -36,7 +36,7 @@ def start_queries(spark: SparkSession, source: DataFrame, users: DataFrame, outp
     started = []
 
     raw = (classified.writeStream.outputMode("append")
-           .foreachBatch(RawEventsHandler(outputs, settings))
+           .foreachBatch(RawEventsHandler(outputs, settings, settings.raw_unique_across_batches))
            .option("checkpointLocation", f"{ckpt}/user_events"))
     started.append(_trigger(raw, settings, available_now).queryName(f"{name_prefix}raw").start())
 
@@ -48,7 +48,7 @@ def start_queries(spark: SparkSession, source: DataFrame, users: DataFrame, outp
     for spec in settings.windows:
         counts = counts_for(parsed, spec, streaming=True)
         agg = (counts.writeStream.outputMode("update")
-               .foreachBatch(WindowBatchHandler(spec, users, outputs, settings))
+               .foreachBatch(WindowBatchHandler(spec, users, outputs, settings, settings.alert_new_only))
                .option("checkpointLocation", f"{ckpt}/user_activity_summary_{spec.name}"))
         started.append(_trigger(agg, settings, available_now).queryName(f"{name_prefix}agg_{spec.name}").start())
     return started

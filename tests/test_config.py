@@ -9,8 +9,10 @@ from eventide.sources.streams import kafka_source_options
 def test_settings_from_env(monkeypatch):
     monkeypatch.setenv("KAFKA_BROKER", "b:1")
     monkeypatch.setenv("Z_THRESHOLD", "4.5")
+    monkeypatch.setenv("ALERT_NEW_ONLY", "true")
     s = Settings.from_env(anomaly_threshold=7)
     assert s.kafka_brokers == "b:1" and s.z_threshold == 4.5 and s.anomaly_threshold == 7
+    assert s.alert_new_only and s.raw_unique_across_batches
     assert s.window("1min").slide == "5 seconds" and s.window("5s").watermark == "30 seconds"
     assert Settings().z_threshold == 3.0 and Settings().max_offsets_per_trigger == 1000
 
