@@ -1,5 +1,6 @@
 """Compare a Spark result with a DuckDB result: row count, column names and
-an order-insensitive multiset of rows (floats rounded to 9 significant digits)."""
+an order-insensitive multiset of rows. Floats must be equal bit for bit
+(``digits`` rounds them instead, for ad-hoc checks)."""
 
 from __future__ import annotations
 
@@ -21,15 +22,18 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+DIGITS = None
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if DIGITS is None else float(f"{v:.{DIGITS}g}")
     if isinstance(v, dt.datetime) and v.tzinfo is not None:
         return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
     if hasattr(v, "as_integer_ratio") and not isinstance(v, (int, float)):
-        return float(f"{float(v):.9g}")
+        return float(v)
     return v
 
 
