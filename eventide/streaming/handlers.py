@@ -4,6 +4,8 @@ batch is retried from the checkpoint instead of being marked done."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,14 @@ from ..schemas import RAW_NATURAL_KEY, SUMMARY_KEY
 from ..sinks.outputs import Outputs
 
 
+def run_all(*writes) -> None:
+    """Independent writes of one persisted batch as concurrent Spark jobs;
+    the first failure is raised (and the batch retried)."""
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()
+
+
 def dead_letters(rejects: DataFrame, batch_id: int, row_cols=None) -> DataFrame:
     """reason, batch_id, the row as JSON text, and the time it was reported."""
     cols = row_cols or [c for c in rejects.columns if c != "reason"]
@@ -82,11 +92,12 @@ class RawEventsHandler:
                 valid = drop_already_stored(deduped, self.outputs, batch_id, self.settings.broadcast_max_rows)
                 valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self.outputs.write_raw(valid, batch_id)
                 rejects = dead_letters(parse_rejects, batch_id, ["row"]).unionByName(
                     dead_letters(store_rejects, batch_id))
-                self.outputs.write_dead_letters(rejects, "raw", batch_id)
-                self.outputs.write_log(as_log_records(raw_batch_record(valid, batch_id)), "raw", batch_id)
+                record = as_log_records(raw_batch_record(valid, batch_id))
+                run_all(lambda: self.outputs.write_raw(valid, batch_id),
+                        lambda: self.outputs.write_dead_letters(rejects, "raw", batch_id),
+                        lambda: self.outputs.write_log(record, "raw", batch_id))
             finally:
                 valid.unpersist()
                 deduped.unpersist()
@@ -129,21 +140,24 @@ class WindowBatchHandler:
             stats = AN.moments(summary).first()  # one row: n, sum, sum of squares
             if not stats["n"]:
                 return
-            self.outputs.summary.write(summary, batch_id, tag)
             graded = AN.grade(AN.with_zscore(summary, stats=stats), s.anomaly_threshold, s.z_threshold)
             anomalies = AN.emitted(graded).drop("is_anomaly")
             enriched = anomalies.join(self.users, "user_id", "left").persist(StorageLevel.MEMORY_AND_DISK)
+            record = as_log_records(agg_batch_record(graded, batch_id, tag, s.z_threshold))
             try:
+                writes = [lambda: self.outputs.summary.write(summary, batch_id, tag),
+                          lambda: self.outputs.write_log(record, tag, batch_id)]
                 # an empty dynamic-overwrite write changes nothing, so most
                 # triggers (no anomaly) skip the three writes after one check
                 if not enriched.isEmpty():
-                    self.outputs.anomalies.write(enriched.select(*SUMMARY_KEY, "event_count"), batch_id, tag)
                     to_alert = self._new_only(enriched, batch_id) if self.alert_new_only else enriched
-                    self.outputs.write_alerts(A.alert_messages(A.alert_records(to_alert)), tag, batch_id)
-                    self.outputs.write_documents(A.anomaly_documents(enriched), tag, batch_id)
+                    writes += [
+                        lambda: self.outputs.anomalies.write(enriched.select(*SUMMARY_KEY, "event_count"), batch_id, tag),
+                        lambda: self.outputs.write_alerts(A.alert_messages(A.alert_records(to_alert)), tag, batch_id),
+                        lambda: self.outputs.write_documents(A.anomaly_documents(enriched), tag, batch_id),
+                    ]
+                run_all(*writes)
             finally:
                 enriched.unpersist()
-            record = agg_batch_record(graded, batch_id, tag, s.z_threshold)
-            self.outputs.write_log(as_log_records(record), tag, batch_id)
         finally:
             summary.unpersist()
