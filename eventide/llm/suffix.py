@@ -103,7 +103,9 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_anchors(texts: DataFrame) -> DataFrame:
     """tid, q (index in the text's parse), at, name of anchors that occur more than once."""
     every = texts.select("tid", "at", "names").mapInArrow(_exploded, "tid long, q int, at int, name long")
-    more = every.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
+    # written, so that both sides of the join are shuffled plainly and a name that
+    # a large share of all texts holds can be split
+    more = written(every.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "more")
     return written(every.join(more, "name").select("tid", "q", "at", "name"), "anchors")
 
 
@@ -271,13 +273,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parse = repeated_anchors(texts)
     spans = repeats(parse, length).groupBy("tid").agg(F.collect_list(F.struct("at", "span", "keeper")).alias("spans"))
     marks = parse.groupBy("tid").agg(F.collect_set("name").alias("names")).join(spans, "tid", "left")
-    marks = written(marks.join(texts.select("tid", "__id", "__text"), "tid"), "marks")
-    # a row repeated in the table gives its text several times; one stays
+    marks = written(marks, "marks")
+    keys = written(texts.select("tid", "__id", "__text").join(marks.select("tid"), "tid"), "keys")
     candidates = docs.select(*row_key(), text_or_empty().alias("text")).join(
-        sized(marks, marks.count()), ["__id", "__text"])
+        sized(keys, keys.count()), ["__id", "__text"]).select("tid", "text")
+    # a row repeated in the table gives its text several times; one stays
     repeated = rows.groupBy("__id", "__text").count().filter("count > 1").limit(1).count() > 0
     if repeated:
         candidates = candidates.dropDuplicates(["tid"])
+    candidates = candidates.join(marks, "tid")
     candidates = written(candidates.select(
         "tid", F.shiftright("tid", PACKET_BITS).alias("packet"), "text", "names", "spans"), "candidates")
     found = merge_rest(candidates, length)
