@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (U64, mix, prefix_sums, row_key, sized, slices, strings, table, window_hashes, without,
@@ -159,50 +159,163 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def links(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links (node, leader) between different texts.
-
-    In each bucket the smallest node leads, and the others are verified
-    against it, so a bucket of any size costs one pair a member; members that
-    are not near their leader stay, and the next round gives them a leader of
-    their own, until no bucket holds members of different classes."""
-    members = written(nodes.select("node", F.explode("bands").alias("bucket")), "buckets")
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = written(members.join(crowded, "bucket"), "buckets")
-    wanted = written(members.select("node").distinct().join(nodes.select("node", "__id", "__text"), "node"), "wanted")
+def merged_roots(roots: DataFrame | None, near: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after the links ``near`` came in: components of
+    the graph of old roots, which is small once classes have formed."""
+    if roots is not None and near.limit(1).count() == 0:
+        return roots
+    ends = near.select("node").union(near.select("leader")).toDF("node").distinct()
+    if roots is None:
+        old = ends.withColumn("root", F.col("node"))
+    else:
+        old = roots.unionByName(ends.join(roots, "node", "left_anti").withColumn("root", F.col("node")))
+    old = written(old, "roots")
+    edges = near.join(old, "node").select(F.col("root").alias("node"), "leader").join(
+        old.toDF("leader", "other"), "leader").select("node", F.col("other").alias("leader")).filter("node <> leader").distinct()
+    new = components(edges).toDF("root", "new")
+    return written(old.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root")), "roots")
+
+
+#: Bands are joined in these rounds.
+BAND_ROUNDS = ((0, 2), (2, 8), (8, BANDS))
+
+
+def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """node, root for all nodes with a verified link to another text.
+
+    In each bucket the smallest node leads and the others are verified against
+    it, so a bucket of any size costs one pair a member. Where a bucket then
+    still holds members of different classes, these meet again under their
+    rarest shingles, which any two near texts share, and every two of
+    different classes are compared there, inside tasks."""
+    every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    crowded = written(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "crowded")
+    shared = written(every.join(crowded, "bucket"), "buckets")
+    wanted = written(shared.select("node").distinct().join(nodes.select("node", "__id", "__text"), "node"), "wanted")
     texts = docs.select(*row_key(), F.col("text")).join(
         sized(wanted, wanted.count()), ["__id", "__text"]).select("node", "text")
     # a row repeated in the table gives its set several times; one stays
     sets = written(texts.mapInArrow(_sets, "node long, elements array<long>").dropDuplicates(["node"]), "sets")
 
-    tested, near = None, None
-    while True:
-        led = members.join(members.groupBy("bucket").agg(F.min("node").alias("leader")), "bucket")
-        led = written(led.filter("node <> leader"), "led")
-        pairs = led.select("node", "leader").distinct()
+    def verified(members: DataFrame, tested: DataFrame | None) -> DataFrame:
+        """Pairs of members with their bucket's leader that are of different
+        classes and were not tested before, with their result."""
+        leaders = written(members.groupBy("bucket").agg(F.min(F.struct("node", "root")).alias("first")).select(
+            "bucket", F.col("first.node").alias("leader"), F.col("first.root").alias("leader_root")), "leaders")
+        pairs = members.join(leaders, "bucket").filter("root <> leader_root").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("node", "leader"), ["node", "leader"], "left_anti")
         checked = (
             pairs.join(sets, "node").join(sets.toDF("leader", "others"), "leader")
             .select("node", "leader", "elements", "others")
             .mapInArrow(lambda it: _checked(it, threshold), "node long, leader long, near boolean"))
-        now = written(checked, "checked")
-        tested = now if tested is None else written(tested.unionByName(now), "checked")
-        near = tested.filter("near").select("node", "leader")
-        left = led.join(tested.filter("not near"), ["node", "leader"], "left_semi").select("bucket", "node")
-        roots = components(near)
-        spread = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = spread.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(
+        return written(checked, "checked")
+
+    def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+        return members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """The buckets that hold members of different classes."""
+        members = written(members, "left")
+        several = members.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter(
             "a <> b").select("bucket")
-        members = written(left.join(several, "bucket"), "left")
-        if members.limit(1).count() == 0:
-            return near
+        return written(members.join(several, "bucket"), "members")
+
+    # A class of many copies meets in all bands: a few bands first, so that the others find it whole.
+    tested, roots = None, None
+    for first, last in BAND_ROUNDS:
+        members = shared.filter(F.col("band").between(first, last - 1)).select("bucket", "node")
+        members = members.withColumn("root", F.col("node")) if roots is None else mixed(rooted(members, roots))
+        checked = verified(members, tested)
+        tested = checked if tested is None else tested.unionByName(checked)
+        roots = merged_roots(roots, checked.filter("near").select("node", "leader"))
+
+    # What still meets members of other classes, often through a passage that
+    # many texts share: links among these show in their rare shingles as well.
+    open_nodes = mixed(rooted(shared.select("bucket", "node"), roots)).select("node").distinct()
+    rare = rare_elements(sets.join(open_nodes, "node"), threshold)
+    found = compared(unlike(mixed(rooted(rare, roots))), sets, threshold)
+    return merged_roots(roots, found)
+
+
+def unlike(members: DataFrame) -> DataFrame:
+    """One bucket of those that hold the same nodes: shingles that lie side by
+    side are mostly shared by the same texts, which need comparing once. (The
+    number of nodes, their ends, and the sum and exclusive-or of their hashes
+    stand for them.)"""
+    word = F.xxhash64("node")
+    lists = members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"),
+        F.sum(word.cast("decimal(20,0)")).alias("sum"), F.bit_xor(word).alias("xor"))
+    chosen = written(lists.groupBy("n", "low", "high", "sum", "xor").agg(F.min("bucket").alias("bucket")).select("bucket"),
+                     "unlike")
+    return written(members.join(chosen, "bucket"), "members")
+
+
+#: Sets that one task compares at once; a larger bucket is dealt over pairs of blocks of half as many.
+BLOCK_SETS = 512
+
+
+def compared(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (node, leader) that join different classes within the buckets of
+    ``members`` (bucket, node, root). A bucket's sets are compared inside
+    tasks, and only links that join something go out, fewer than sets come in.
+    A bucket beyond the block size is dealt over all pairs of its blocks."""
+    half = BLOCK_SETS // 2
+    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / half).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.join(sizes.withColumn("blocks", F.when(F.col("n") <= BLOCK_SETS, 1).otherwise(blocks)), "bucket").select(
+        "bucket", "node", "root", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
+            F.least(own, other.cast("int")).alias("a"), F.greatest(own, other.cast("int")).alias("b")))).alias("part"))
+    dealt = dealt.select("bucket", "part.a", "part.b", "node", "root").join(sets, "node")
+    return written(dealt.groupBy("bucket", "a", "b").applyInArrow(
+        lambda t: _linked(t, threshold), "node long, leader long").distinct(), "compared")
+
+
+def _linked(group: pa.Table, threshold: float) -> pa.Table:
+    """Links between the classes of a group: each set outside the
+    largest class is compared with all, and classes found near are one from then on."""
+    nodes = group["node"].to_pylist()
+    sets = [x.values.to_numpy() for x in group["elements"]]
+    sizes = np.array([len(x) for x in sets])
+    every = np.concatenate(sets)
+    _, label = np.unique(np.array(group["root"].to_pylist(), np.int64), return_inverse=True)
+    order = np.argsort(every, kind="stable")
+    ranked, of = every[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    found = []
+    largest = np.bincount(label).argmax()
+    # of two sets of different classes, one is not in the largest class
+    for i in np.flatnonzero(label != largest).tolist():
+        own = sets[i]
+        first, last = np.searchsorted(ranked, own, "left"), np.searchsorted(ranked, own, "right")
+        n = last - first
+        hits = of[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        same = np.bincount(hits, minlength=len(sets))
+        for j in np.flatnonzero(same >= threshold * (sizes + sizes[i] - same)).tolist():
+            if label[j] != label[i]:
+                found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+                label[label == label[j]] = label[i]
+    return pa.table([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
+                    names=["node", "leader"])
+
+
+def rare_elements(sets: DataFrame, threshold: float) -> DataFrame:
+    """bucket, node: each set under its rarest elements, as many as two sets
+    at the threshold cannot all differ in (prefix filter: of n elements,
+    n - ceil(threshold n) + 1 in one order for all sets). Elements of one set
+    only meet nobody and are left out."""
+    every = written(sets.select("node", F.size("elements").alias("n"), F.explode("elements").alias("bucket")), "elements")
+    times = written(every.groupBy("bucket").agg(F.count("*").alias("times")), "times")
+    order = Window.partitionBy("node").orderBy("times", "bucket")
+    ranked = every.join(times, "bucket").withColumn("place", F.row_number().over(order))
+    most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1
+    return written(ranked.filter((F.col("place") <= most) & (F.col("times") > 1)).select("bucket", "node"), "rare")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of
-    its class), class_size, n_links (verified links of its word sequence to
-    others), kept.
+    its class), class_size, kept.
 
     Texts of equal word sequences are one node. A null, empty or wordless text
     has no shingles and is a class of its own; a text of fewer than five words
@@ -223,26 +336,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             rows.select(F.col("row").alias("node"), "bands"), "node").select(
             "node", "digest", "n", "first", F.col("first.__id").alias("__id"), F.col("first.__text").alias("__text"),
             "bands"), "nodes")
-    near = links(nodes, docs, threshold)
-    degree = near.select("node").union(near.select("leader")).toDF("node").groupBy("node").agg(F.count("*").alias("n_links"))
-    roots = components(near)
+    roots = class_roots(nodes, docs, threshold)
     classed = nodes.select("node", "digest", "n", "first").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")).join(degree, "node", "left")
+        "root", F.coalesce("root", "node"))
     classes = classed.groupBy("root").agg(F.sum("n").alias("class_size"), F.min("first").alias("best"))
     by_digest = classed.join(classes, "root").select(
-        "digest", "best", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "digest", "best", "class_size")
     alone = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("__id"), F.col("__text"), F.col("row"))
     out = rows.withColumn("digest", F.when(F.size("bands") > 0, F.col("digest"))).drop("bands").join(
         by_digest, "digest", "left").withColumn("best", F.coalesce("best", alone))
     return out.select(
         "doc_id", F.when(~F.col("best.no_id"), F.col("best.__id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         ((F.col("__id") == F.col("best.__id")) & (F.col("__text") == F.col("best.__text"))).alias("kept"),
         "__id", "__text")
 
 
-COLUMNS = ["doc_id", "class_id", "class_size", "n_links", "kept"]
+COLUMNS = ["doc_id", "class_id", "class_size", "kept"]
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
