@@ -19,29 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores, so per-row work after it (JSON, window expansion) runs on every core.
-
-    Spark already shrinks file splits to reach ``defaultParallelism``
-    partitions (``spark.sql.files.minPartitionNum``); it yields fewer only when
-    the input is small or its row groups cannot be split (the test files hold
-    one row group each). Then the shuffle is either cheap or the only way to
-    parallelise; a large, splittable input is left alone, so at scale this
-    adds no shuffle. Filters and column pruning still reach the scan."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        coarse = df.rdd.getNumPartitions() < target
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df.repartition(target) if coarse else df
-
-
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A large table, spread over all cores when its scan is too coarse."""
-    return spread(table(spark, sf_dir, name))
-
-
 def device_id_col() -> F.Column:
     """Optional device text built from the row: null for every tenth event,
     so the null-distinct natural key has null rows to keep."""
@@ -52,11 +29,11 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the event contract; ``timestamp`` and ``event_time`` stay
     ``timestamp_ntz`` (naive UTC), as stored."""
     use_utc(spark)
-    ev = fact_table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id"),
-        F.col("user_id").cast("int").alias("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("product_id"),
+        F.expr("try_cast(user_id AS int)").alias("user_id"),
+        F.expr("try_cast(get_json_object(props, '$.k') AS int)").alias("product_id"),
         F.col("event_type").alias("action"),
         F.col("ts").alias("timestamp"),
         device_id_col().alias("device_id"),
@@ -71,8 +48,8 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two columns every windowed count needs: user_id and event_time."""
     use_utc(spark)
-    ev = fact_table(spark, sf_dir, "events")
-    return ev.select(F.col("user_id").cast("int").alias("user_id"), F.col("ts").alias("event_time"))
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.expr("try_cast(user_id AS int)").alias("user_id"), F.col("ts").alias("event_time"))
 
 
 def users_dimension(spark: SparkSession, sf_dir: str, with_gaps: bool = True) -> DataFrame:
