@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 
 # Fixed values that must equal the reference's for the same results:
 # topic names, thresholds, window lengths, slide, watermarks, trigger,
@@ -21,7 +21,6 @@ LONG_WATERMARK = "2 minutes"
 PROCESSING_TRIGGER = "1 second"
 MAX_OFFSETS_PER_TRIGGER = 1000
 RAW_WRITE_BATCH_ROWS = 5000
-ALERT_POLL_RECORDS = 100
 
 
 def _flag(text: str) -> bool:
@@ -59,6 +58,8 @@ class Settings:
     trigger: str = PROCESSING_TRIGGER
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER
     raw_write_batch_rows: int = RAW_WRITE_BATCH_ROWS
+    # Alerts the notifier takes in one trigger; unset: all there are.
+    alerts_per_trigger: int | None = None
     # Rows above which the user dimension is not broadcast (sort-merge instead).
     broadcast_max_rows: int = 500_000
     # Alert only anomalies the insert-ignore table did not hold yet (the
@@ -89,6 +90,12 @@ class Settings:
             "anomaly_threshold": _env("ANOMALY_THRESHOLD", cls.anomaly_threshold, int),
             "z_threshold": _env("Z_THRESHOLD", cls.z_threshold, float),
             "trigger": _env("PROCESSING_TRIGGER", cls.trigger),
+            "max_offsets_per_trigger": _env("MAX_OFFSETS_PER_TRIGGER", cls.max_offsets_per_trigger, int),
+            "raw_write_batch_rows": _env("COPY_CHUNK", cls.raw_write_batch_rows, int),
+            "alerts_per_trigger": _env("ALERTS_PER_TRIGGER", None, int),
+            "broadcast_max_rows": _env("BROADCAST_MAX_ROWS", cls.broadcast_max_rows, int),
+            "windows": tuple(replace(w, slide=_env("WINDOW_SLIDE", w.slide)) if w.slide != w.length else w
+                             for w in cls.windows),
             "alert_new_only": _env("ALERT_NEW_ONLY", cls.alert_new_only, _flag),
             "raw_unique_across_batches": _env("RAW_UNIQUE_ACROSS_BATCHES", cls.raw_unique_across_batches, _flag),
         }

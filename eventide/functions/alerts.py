@@ -65,9 +65,11 @@ def anomaly_documents(enriched: DataFrame, with_clock: bool = True) -> DataFrame
 
 def decode_alerts(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Alert text -> alert fields plus ``check``: 'valid' or 'missing_<key>'
-    for the first required key that is absent or null."""
-    data = F.from_json(F.col(value_col).cast("string"), ALERT_SCHEMA)
-    parsed = raw.select(F.col(value_col).cast("string").alias("value"), data.alias("a")).select("value", "a.*")
+    for the first required key that is absent or null. The text is parsed
+    once: the struct comes out of a generator, as in ``parse.decoded``."""
+    value = F.col(value_col).cast("string")
+    once = F.array(F.struct(value.alias("value"), F.from_json(value, ALERT_SCHEMA).alias("a")))
+    parsed = raw.select(F.inline(once)).select("value", "a.*")
     check = None
     for name in REQUIRED_ALERT_FIELDS:
         miss = F.col(name).isNull()

@@ -26,7 +26,6 @@ from ..sources.tables import activity, table, typed_events, users_dimension
 
 DAY = "1 day"
 TAIL_CURSOR = "2024-01-15 00:00:00"
-MERGE_FROM = "2024-01-15 00:00:00"
 
 
 # ---------------------------------------------------------------- counts
@@ -209,13 +208,12 @@ def natural_key_dedup_q(spark, sf_dir):
 # ---------------------------------------------------------------- merges
 
 def _merge_inputs(spark, sf_dir):
-    """target: daily counts without 'error' events (an older state of the
-    table); source: complete daily counts from 2024-01-15 on. Overlapping keys
-    carry different counts, so upsert and insert-ignore differ."""
-    act = typed_events(spark, sf_dir)
-    older = act.filter(F.col("action") != "error").select("user_id", "event_time")
-    target = flatten_window(window_counts(older, DAY))
-    source = day_counts(spark, sf_dir).filter(F.col("window_start") >= F.lit(MERGE_FROM).cast("timestamp_ntz"))
+    """All events, each counted by day on exactly one side: even event ids in
+    the target, odd ones in the source. Keys of both sides mostly carry
+    different counts, so upsert and insert-ignore differ."""
+    act, odd = typed_events(spark, sf_dir), F.col("event_id") % 2 != 0
+    target, source = (flatten_window(window_counts(act.filter(side).select("user_id", "event_time"), DAY))
+                      for side in (~odd, odd))
     return target, source
 
 

@@ -10,9 +10,9 @@ EV = """ev AS (
   FROM events)"""
 
 US = """us AS (
-  SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_name, r_name AS region
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 10 <> 0)"""
+  SELECT CAST(CASE WHEN c_custkey % 10 <> 0 THEN c_custkey ELSE -c_custkey END AS INTEGER) AS user_id,
+         c_name AS user_name, r_name AS region
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def tumbling(name: str, width: str, where: str = "") -> str:
@@ -90,9 +90,8 @@ CONSTRAINTS = "\nUNION ALL\n".join(
 
 MERGE_INPUTS = with_(
     EV,
-    tumbling("t", "1 day", "WHERE action <> 'error'"),
-    tumbling("a", "1 day"),
-    "s AS (SELECT * FROM a WHERE window_start >= TIMESTAMP '2024-01-15 00:00:00')",
+    tumbling("t", "1 day", "WHERE event_id % 2 = 0"),
+    tumbling("s", "1 day", "WHERE event_id % 2 <> 0"),
 )
 
 def stream_batches(length: str, starts: int, name: str = "em") -> list[str]:
@@ -244,5 +243,15 @@ SELECT user_id, product_id, action, date_trunc('second', ts) AS "timestamp", dev
        CAST(NULL AS VARCHAR) AS user_segment, CAST(NULL AS VARCHAR) AS ip_address
 FROM ev {GOOD}""",
     "stream_archive_parquet": with_(EV) + f"""
-SELECT user_id, product_id, action, ts AS "timestamp", device_id, ts AS event_time FROM ev {GOOD}""",
+SELECT user_id, product_id, action, ts AS "timestamp", device_id,
+       CAST(NULL AS VARCHAR) AS device_type, CAST(NULL AS VARCHAR) AS location,
+       CAST(NULL AS VARCHAR) AS user_segment, CAST(NULL AS VARCHAR) AS ip_address, ts AS event_time
+FROM ev {GOOD}""",
+    "stream_summary_1min": with_(EV, SLIDING.replace("FROM ev, range(12)", f"FROM (SELECT * FROM ev {GOOD}) ev, range(12)"))
+    + "SELECT * FROM g",
+    "stream_anomalous_events": with_(*STREAM_BASE, *stream_batches("5 seconds", 1, "em5"),
+                                     *stream_batches("1 minute", 12, "em60")) + """
+SELECT window_start, window_end, user_id, arg_min(event_count, k) AS event_count
+FROM (SELECT * FROM em5 UNION ALL SELECT * FROM em60) e
+WHERE severity IN ('high', 'medium') GROUP BY window_start, window_end, user_id""",
 }

@@ -38,6 +38,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_batch_audit": B.raw_batch_audit,
     "log_tail": B.log_tail,
     "stream_summary_5s": S.stream_summary_5s,
+    "stream_summary_1min": S.stream_summary_1min,
+    "stream_anomalous_events": S.stream_anomalous_events,
     "stream_anomalies_1min": S.stream_anomalies_1min,
     "stream_archive_parquet": S.stream_archive_parquet,
     "stream_alerts_1min": S.stream_alerts_1min,

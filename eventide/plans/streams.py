@@ -106,16 +106,27 @@ def stream_summary_5s(spark, sf_dir):
     return cur.select(*_ntz("window_start", "window_end"), "user_id", "event_count")
 
 
-def stream_anomalies_1min(spark, sf_dir):
+def stream_summary_1min(spark, sf_dir):
     cur = stream_outputs(spark, sf_dir).summary.current("1min")
-    counts = cur.select(*_ntz("window_start", "window_end"), "user_id", "event_count")
-    return AN.detect(counts)
+    return cur.select(*_ntz("window_start", "window_end"), "user_id", "event_count")
+
+
+def stream_anomalies_1min(spark, sf_dir):
+    return AN.detect(stream_summary_1min(spark, sf_dir))
+
+
+def stream_anomalous_events(spark, sf_dir):
+    """The stored insert-ignore table of both window queries: the first count
+    emitted for each key."""
+    cur = stream_outputs(spark, sf_dir).anomalies.current()
+    return cur.select(*_ntz("window_start", "window_end"), "user_id", "event_count")
 
 
 def stream_archive_parquet(spark, sf_dir):
     out = stream_outputs(spark, sf_dir)
     arch = spark.read.parquet(out.archive_path)
-    return arch.select("user_id", "product_id", "action", *_ntz("timestamp"), "device_id", *_ntz("event_time"))
+    return arch.select("user_id", "product_id", "action", *_ntz("timestamp"), "device_id", "device_type",
+                       "location", "user_segment", "ip_address", *_ntz("event_time"))
 
 
 def _stream_alerts(spark, sf_dir, tag):

@@ -3,11 +3,12 @@
 
 Each micro-batch is appended as its own partition (see ``batches``); the
 current table is a view that keeps, per key, the row of the newest batch
-(upsert) or of the oldest batch (insert-ignore). The choice is an ordinary
-``max``/``min`` over ``struct(batch_id, values)``: it combines map-side, so
-the per-key work is spread however skewed the keys are. Writing a batch costs
-only the batch, never a rewrite of the table; ``compact`` folds the log into
-one snapshot folder when it grows long.
+(upsert) or of the oldest batch (insert-ignore). The choice is ``max_by`` or
+``min_by`` on the batch id: with fixed-width values a hash aggregate that
+combines map-side, so the per-key work is spread however skewed the keys are.
+A key occurs once in a batch. Writing a batch costs only the batch, never a
+rewrite of the table; ``compact`` folds the log into one snapshot folder when
+it grows long.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ class KeyedTable:
                                                       T.StructField("batch_id", T.LongType())])
         try:
             return read_batches(self.spark, self.path, schema=full)
-        except AnalysisException:
-            if full is None:
+        except AnalysisException as e:
+            if full is None or e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], full)
 
@@ -52,10 +53,8 @@ class KeyedTable:
         if tag is not None:
             log = log.filter(F.col("source") == tag)
         values = [c for c in log.columns if c not in self.keys and c not in ("source", "batch_id")]
-        picked = F.struct(F.col("batch_id"), *[F.col(c) for c in values])
-        best = F.max(picked) if self.keep == "last" else F.min(picked)
-        agg = log.groupBy(*self.keys).agg(best.alias("_row"))
-        return agg.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+        best = F.max_by if self.keep == "last" else F.min_by
+        return log.groupBy(*self.keys).agg(*[best(F.col(c), F.col("batch_id")).alias(c) for c in values])
 
     def compact(self, snapshot_path: str, tag: str | None = None) -> DataFrame:
         """Write the current table to a new folder and return it read back."""

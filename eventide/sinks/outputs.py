@@ -57,7 +57,10 @@ class Outputs:
         from pyspark.errors import AnalysisException
         try:
             stored = self.spark.read.parquet(self.path("user_events"))
-        except AnalysisException:
+        except AnalysisException as e:
+            # not written yet, or only by batches without rows
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return None
         return stored.filter(F.col("event_date").between(F.lit(first_day), F.lit(last_day))
                              & (F.col("batch_id") != F.lit(int(exclude_batch))))
@@ -75,9 +78,9 @@ class Outputs:
 
     def write_dead_letters(self, rejects: DataFrame, tag: str, batch_id: int) -> None:
         if self.alert_format == "kafka":
-            from pyspark.sql import functions as F
+            from ..functions.alerts import to_json_value
             from .kafka import write_topic
-            write_topic(rejects.select(F.to_json(F.struct(*rejects.columns)).alias("value")),
+            write_topic(rejects.select(to_json_value(rejects).alias("value")),
                         self.settings, self.settings.dead_letter_topic)
         else:
             write_batch(rejects, self.path("dead_letters"), tag, batch_id, fmt="json")

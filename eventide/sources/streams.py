@@ -36,8 +36,8 @@ def event_stream(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def alert_stream(spark: SparkSession, settings: Settings, max_records: int | None = None) -> DataFrame:
-    from ..config import ALERT_POLL_RECORDS
-    return kafka_stream(spark, settings, settings.alerts_topic, max_records or ALERT_POLL_RECORDS)
+    """Alert topic; a trigger takes all there is unless a cap is set."""
+    return kafka_stream(spark, settings, settings.alerts_topic, max_records or settings.alerts_per_trigger)
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

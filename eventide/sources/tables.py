@@ -52,20 +52,19 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.expr("try_cast(user_id AS int)").alias("user_id"), F.col("ts").alias("event_time"))
 
 
-def users_dimension(spark: SparkSession, sf_dir: str, with_gaps: bool = True) -> DataFrame:
-    """User dimension (user_id, name, email, region, created_at) from customer,
-    nation and region. ``with_gaps`` leaves out every tenth customer so that
-    enrichment meets unmatched users, as a partly filled dimension would."""
+def users_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User dimension (user_id, name, email, region, created_at) from all of
+    customer, nation and region. Every tenth customer is keyed by its negated
+    id, so that enrichment meets users that the dimension does not know."""
     cust = table(spark, sf_dir, "customer")
-    if with_gaps:
-        cust = cust.filter(F.col("c_custkey") % 10 != 0)
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
+    key = F.expr("try_cast(c_custkey AS int)")
     return (
         cust.join(nation, cust.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
         .select(
-            F.col("c_custkey").cast("int").alias("user_id"),
+            F.when(F.col("c_custkey") % 10 != 0, key).otherwise(-key).alias("user_id"),
             F.col("c_name").alias("name"),
             F.lit(None).cast("string").alias("email"),
             F.col("r_name").alias("region"),

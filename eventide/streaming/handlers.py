@@ -33,9 +33,10 @@ def run_all(*writes) -> None:
 
 
 def dead_letters(rejects: DataFrame, batch_id: int, row_cols=None) -> DataFrame:
-    """reason, batch_id, the row as JSON text, and the time it was reported."""
+    """reason, batch_id, the row as JSON text (null fields stay as keys), and
+    the time it was reported."""
     cols = row_cols or [c for c in rejects.columns if c != "reason"]
-    row = F.col("row") if cols == ["row"] else F.to_json(F.struct(*[F.col(c) for c in cols]))
+    row = F.col("row") if cols == ["row"] else A.to_json_value(rejects, cols)
     return rejects.select(F.col("reason"), F.lit(int(batch_id)).cast("long").alias("batch_id"),
                           row.alias("row"), F.current_timestamp().alias("reported_at"))
 

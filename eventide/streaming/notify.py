@@ -1,7 +1,7 @@
 """Alert stream -> checked alerts, payload log, rendered notifications.
 
-One query reads the alert topic (at most ``ALERT_POLL_RECORDS`` per trigger,
-every second), and each micro-batch writes three outputs: every payload as
+One query reads the alert topic (every second, all there is unless
+``Settings.alerts_per_trigger`` is set), and each micro-batch writes three outputs: every payload as
 a JSON line, the messages of valid high/medium alerts, and the invalid
 alerts with the key they lack."""
 

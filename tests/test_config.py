@@ -17,6 +17,16 @@ def test_settings_from_env(monkeypatch):
     assert Settings().z_threshold == 3.0 and Settings().max_offsets_per_trigger == 1000
 
 
+def test_caps_and_slide_from_env(monkeypatch):
+    assert Settings.from_env().alerts_per_trigger is None  # the notifier takes all there is
+    for name, value in {"MAX_OFFSETS_PER_TRIGGER": "50000", "COPY_CHUNK": "100", "ALERTS_PER_TRIGGER": "7",
+                        "BROADCAST_MAX_ROWS": "10", "WINDOW_SLIDE": "10 seconds"}.items():
+        monkeypatch.setenv(name, value)
+    s = Settings.from_env()
+    assert (s.max_offsets_per_trigger, s.raw_write_batch_rows, s.alerts_per_trigger, s.broadcast_max_rows) == (50000, 100, 7, 10)
+    assert s.window("1min").slide == "10 seconds" and s.window("5s").slide == "5 seconds"
+
+
 def test_kafka_options():
     opts = kafka_source_options(Settings(), "user_events", 1000)
     assert opts == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "user_events",

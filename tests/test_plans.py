@@ -83,9 +83,15 @@ def test_tail_is_take_ordered(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = physical(B.merge_upsert_q(spark, SF01))
+    plan = physical(B.log_tail(spark, SF01))
     pushed = [l.split("PushedFilters: ")[1] for l in plan.splitlines() if "PushedFilters: " in l]
-    assert any("Not(EqualTo(event_type,error))" in p for p in pushed), pushed
+    assert any("GreaterThanOrEqual(ts," in p for p in pushed), pushed
+
+
+def test_alerts_are_parsed_once(spark):
+    for query in (B.alert_message, B.alert_schema_check):
+        plan = query(spark, SF01)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1, plan
 
 
 def test_statistics_reuse_the_count_shuffle(spark):
