@@ -15,7 +15,7 @@ links are closed to classes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +180,14 @@ def merged_roots(roots: DataFrame | None, near: DataFrame) -> DataFrame:
 BAND_ROUNDS = ((0, 2), (2, 8), (8, BANDS))
 
 
+def tested_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (node, leader) with ``near``, decided on the sets themselves."""
+    return written(
+        pairs.join(sets, "node").join(sets.toDF("leader", "others"), "leader")
+        .select("node", "leader", "elements", "others")
+        .mapInArrow(lambda it: _checked(it, threshold), "node long, leader long, near boolean"), "checked")
+
+
 def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """node, root for all nodes with a verified link to another text.
 
@@ -187,7 +195,9 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     it, so a bucket of any size costs one pair a member. Where a bucket then
     still holds members of different classes, these meet again under their
     rarest shingles, which any two near texts share, and every two of
-    different classes are compared there, inside tasks."""
+    different classes are compared there, inside tasks: first by sketches (a
+    byte of each coordinate of the signatures), and by their sets where these
+    agree as near sets do."""
     every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = written(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "crowded")
     shared = written(every.join(crowded, "bucket"), "buckets")
@@ -205,11 +215,7 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
         pairs = members.join(leaders, "bucket").filter("root <> leader_root").select("node", "leader").distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("node", "leader"), ["node", "leader"], "left_anti")
-        checked = (
-            pairs.join(sets, "node").join(sets.toDF("leader", "others"), "leader")
-            .select("node", "leader", "elements", "others")
-            .mapInArrow(lambda it: _checked(it, threshold), "node long, leader long, near boolean"))
-        return written(checked, "checked")
+        return tested_pairs(pairs, sets, threshold)
 
     def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
         return members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
@@ -233,8 +239,22 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     # What still meets members of other classes, often through a passage that
     # many texts share: links among these show in their rare shingles as well.
     open_nodes = mixed(rooted(shared.select("bucket", "node"), roots)).select("node").distinct()
-    rare = rare_elements(sets.join(open_nodes, "node"), threshold)
-    found = compared(unlike(mixed(rooted(rare, roots))), sets, threshold)
+    open_sets = written(sets.join(open_nodes, "node"), "open")
+    rare = rare_elements(open_sets, threshold)
+    members = unlike(mixed(rooted(rare, roots)))
+    sketches = sketched(open_sets, members)
+
+    # Sketches first name few links that would join most classes; then every
+    # two of different classes that may be near are compared.
+    named = in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _forest(t, threshold),
+                       "node long, leader long")
+    checked = tested_pairs(written(named, "named"), open_sets, threshold)
+    roots = merged_roots(roots, checked.filter("near").select("node", "leader"))
+    members = mixed(rooted(members.select("bucket", "node"), roots))
+    members = written(in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _likely(t, threshold),
+                                 "bucket long, node long, root long, size int"), "likely")
+    found = written(in_buckets(unlike(members), F.col("size"), BLOCK_ELEMENTS, open_sets,
+                               lambda t: _linked(t, threshold), "node long, leader long"), "compared")
     return merged_roots(roots, found)
 
 
@@ -252,25 +272,89 @@ def unlike(members: DataFrame) -> DataFrame:
     return written(members.join(chosen, "bucket"), "members")
 
 
-#: Sets that one task compares at once; a larger bucket is dealt over pairs of blocks of half as many.
-BLOCK_SETS = 512
-
-
-def compared(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links (node, leader) that join different classes within the buckets of
-    ``members`` (bucket, node, root). A bucket's sets are compared inside
-    tasks, and only links that join something go out, fewer than sets come in.
-    A bucket beyond the block size is dealt over all pairs of its blocks."""
-    half = BLOCK_SETS // 2
-    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / half).cast("int"))
+def in_buckets(members: DataFrame, weight: F.Column, block: int, values: DataFrame,
+               compare: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Distinct rows of ``compare`` over the buckets of ``members`` (bucket,
+    node, root) with the ``values`` of their nodes. A bucket whose weights sum
+    to more than ``block`` is dealt over all pairs of its blocks of half as much."""
+    sizes = written(members.groupBy("bucket").agg(F.sum(weight).alias("n")), "sizes")
+    blocks = F.when(F.col("n") <= block, 1).otherwise(F.ceil(F.col("n") / (block // 2)).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.join(sizes.withColumn("blocks", F.when(F.col("n") <= BLOCK_SETS, 1).otherwise(blocks)), "bucket").select(
+    placed = members.join(sizes.select("bucket", blocks.alias("blocks")), "bucket").select(
         "bucket", "node", "root", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
             F.least(own, other.cast("int")).alias("a"), F.greatest(own, other.cast("int")).alias("b")))).alias("part"))
-    dealt = dealt.select("bucket", "part.a", "part.b", "node", "root").join(sets, "node")
-    return written(dealt.groupBy("bucket", "a", "b").applyInArrow(
-        lambda t: _linked(t, threshold), "node long, leader long").distinct(), "compared")
+    return placed.select("bucket", "part.a", "part.b", "node", "root").join(values, "node").groupBy(
+        "bucket", "a", "b").applyInArrow(compare, schema).distinct()
+
+
+#: Sketches (K bytes each) and elements of sets (8 bytes each) that one task compares at once.
+BLOCK_SKETCHES, BLOCK_ELEMENTS = 4096, 1 << 21
+
+
+def least_agreeing(threshold: float) -> float:
+    """Coordinates on which two sets at the threshold agree at least, but for
+    one pair in a billion: 6.5 standard deviations below the mean."""
+    return K * threshold - 6.5 * math.sqrt(K * threshold * (1 - threshold))
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One byte of each coordinate of the signature."""
+    for whole in batches:
+        for begin in range(0, whole.num_rows, 256):
+            batch = whole.slice(begin, 256)
+            lists = batch.column(1)
+            sizes = np.diff(lists.offsets.to_numpy())
+            signed = signatures(lists.flatten().to_numpy().view(U64), np.repeat(np.arange(len(sizes)), sizes), len(sizes))
+            low = mix(np.ascontiguousarray(signed).view(U64)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array([x.tobytes() for x in low], pa.binary())],
+                ["node", "size", "sketch"])
+
+
+def sketched(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """node, size, sketch of the nodes of ``members``."""
+    return written(sets.join(members.select("node").distinct(), "node").select("node", "elements").mapInArrow(
+        _sketches, "node long, size int, sketch binary"), "sketches")
+
+
+class Sketches:
+    """The sketches of a group of members and the classes these are in."""
+
+    def __init__(self, group: pa.Table, threshold: float) -> None:
+        self.sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, K)
+        self.size, self.threshold = group["size"].to_numpy(), threshold
+        _, self.label = np.unique(group["root"].to_numpy(), return_inverse=True)
+        # of two members of different classes, one is not in the largest class
+        self.outside = np.flatnonzero(self.label != np.bincount(self.label).argmax()).tolist()
+
+    def alike(self, i: int, least: float) -> np.ndarray:
+        """Members of other classes whose sketch agrees with that of ``i`` in ``least`` places."""
+        small, large = np.minimum(self.size, self.size[i]), np.maximum(self.size, self.size[i])
+        near = np.flatnonzero((self.label != self.label[i]) & (small >= self.threshold * large))
+        return near[np.count_nonzero(self.sketch[near] == self.sketch[i], axis=1) >= least]
+
+
+def _forest(group: pa.Table, threshold: float) -> pa.Table:
+    """Links that look near by the sketches, no more than join the group's classes."""
+    nodes, sketches, found = group["node"].to_pylist(), Sketches(group, threshold), []
+    label = sketches.label
+    for i in sketches.outside:
+        for j in sketches.alike(i, K * threshold).tolist():
+            if label[j] != label[i]:
+                found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+                label[label == label[j]] = label[i]
+    return links(found)
+
+
+def _likely(group: pa.Table, threshold: float) -> pa.Table:
+    """The members whose sketch agrees with one of another class as those of near sets do."""
+    sketches, least = Sketches(group, threshold), least_agreeing(threshold)
+    keep = np.zeros(group.num_rows, bool)
+    for i in sketches.outside:
+        alike = sketches.alike(i, least)
+        keep[alike] = True
+        keep[i] |= len(alike) > 0
+    return group.select(["bucket", "node", "root", "size"]).filter(pa.array(keep))
 
 
 def _linked(group: pa.Table, threshold: float) -> pa.Table:
@@ -296,6 +380,10 @@ def _linked(group: pa.Table, threshold: float) -> pa.Table:
             if label[j] != label[i]:
                 found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
                 label[label == label[j]] = label[i]
+    return links(found)
+
+
+def links(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
                     names=["node", "leader"])
 
