@@ -196,8 +196,8 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     still holds members of different classes, these meet again under their
     rarest shingles, which any two near texts share, and every two of
     different classes are compared there, inside tasks: first by sketches (a
-    byte of each coordinate of the signatures), and by their sets where these
-    agree as near sets do."""
+    byte of each coordinate of the signatures), and by their sets within the
+    families that agree as near sets do."""
     every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = written(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"), "crowded")
     shared = written(every.join(crowded, "bucket"), "buckets")
@@ -244,16 +244,19 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     members = unlike(mixed(rooted(rare, roots)))
     sketches = sketched(open_sets, members)
 
-    # Sketches first name few links that would join most classes; then every
-    # two of different classes that may be near are compared.
-    named = in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _forest(t, threshold),
-                       "node long, leader long")
-    checked = tested_pairs(written(named, "named"), open_sets, threshold)
+    # Sketches first name few links that would join most classes. Then texts
+    # of different classes that may be near, directly or through others, form
+    # a family, and each set is sent once, to its family.
+    def named(least: float) -> DataFrame:
+        return written(in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _forest(t, threshold, least),
+                                  "node long, leader long"), "named")
+
+    checked = tested_pairs(named(K * threshold), open_sets, threshold)
     roots = merged_roots(roots, checked.filter("near").select("node", "leader"))
     members = mixed(rooted(members.select("bucket", "node"), roots))
-    members = written(in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _likely(t, threshold),
-                                 "bucket long, node long, root long, size int"), "likely")
-    found = written(in_buckets(unlike(members), F.col("size"), BLOCK_ELEMENTS, open_sets,
+    families = components(named(least_agreeing(threshold))).toDF("node", "bucket")
+    relatives = mixed(rooted(families, roots)).join(sketches.select("node", "size"), "node")
+    found = written(in_buckets(relatives, F.col("size"), BLOCK_ELEMENTS, open_sets,
                                lambda t: _linked(t, threshold), "node long, leader long"), "compared")
     return merged_roots(roots, found)
 
@@ -317,46 +320,24 @@ def sketched(sets: DataFrame, members: DataFrame) -> DataFrame:
         _sketches, "node long, size int, sketch binary"), "sketches")
 
 
-class Sketches:
-    """The sketches of a group of members and the classes these are in."""
-
-    def __init__(self, group: pa.Table, threshold: float) -> None:
-        self.sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, K)
-        self.size, self.threshold = group["size"].to_numpy(), threshold
-        _, self.label = np.unique(group["root"].to_numpy(), return_inverse=True)
-        # of two members of different classes, one is not in the largest class
-        self.outside = np.flatnonzero(self.label != np.bincount(self.label).argmax()).tolist()
-
-    def alike(self, i: int, least: float) -> np.ndarray:
-        """Members of other classes whose sketch agrees with that of ``i`` in ``least`` places."""
-        small, large = np.minimum(self.size, self.size[i]), np.maximum(self.size, self.size[i])
-        near = np.flatnonzero((self.label != self.label[i]) & (small >= self.threshold * large))
-        return near[np.count_nonzero(self.sketch[near] == self.sketch[i], axis=1) >= least]
-
-
-def _forest(group: pa.Table, threshold: float) -> pa.Table:
-    """Links that look near by the sketches, no more than join the group's classes."""
-    nodes, sketches, found = group["node"].to_pylist(), Sketches(group, threshold), []
-    label = sketches.label
-    for i in sketches.outside:
-        for j in sketches.alike(i, K * threshold).tolist():
+def _forest(group: pa.Table, threshold: float, least: float) -> pa.Table:
+    """Links between classes whose sketches agree in ``least`` places, fewer than members."""
+    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, K)
+    nodes, size, found = group["node"].to_pylist(), group["size"].to_numpy(), []
+    _, root = np.unique(group["root"].to_numpy(), return_inverse=True)
+    # links found join single members: whole classes may hold others that are not alike
+    label = np.arange(len(nodes))
+    # of two members of different classes, one is not in the largest class
+    for i in np.flatnonzero(root != np.bincount(root).argmax()).tolist():
+        fits = np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])
+        near = np.flatnonzero((root != root[i]) & (label != label[i]) & fits)
+        for j in near[np.count_nonzero(sketch[near] == sketch[i], axis=1) >= least].tolist():
             if label[j] != label[i]:
                 found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
                 label[label == label[j]] = label[i]
     return links(found)
 
 
-def _likely(group: pa.Table, threshold: float) -> pa.Table:
-    """The members whose sketch agrees with one of another class as those of near sets do."""
-    sketches, least = Sketches(group, threshold), least_agreeing(threshold)
-    keep = np.zeros(group.num_rows, bool)
-    for i in sketches.outside:
-        alike = sketches.alike(i, least)
-        keep[alike] = True
-        keep[i] |= len(alike) > 0
-    return group.select(["bucket", "node", "root", "size"]).filter(pa.array(keep))
-
-
 def _linked(group: pa.Table, threshold: float) -> pa.Table:
     """Links between the classes of a group: each set outside the
     largest class is compared with all, and classes found near are one from then on."""
