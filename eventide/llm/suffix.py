@@ -3,9 +3,10 @@ difference-cover suffix sort of the texts' parse.
 
 Sorting all byte suffixes of the corpus would shuffle several times its size,
 so the text is first parsed: in every window of ``length`` bytes the smallest
-hash of ``length / 2`` bytes is an anchor. Equal windows have equal anchors at
-equal places, so a window can only repeat if its anchor does, and a text is a
-string of anchor names, a hundredth as long. Only anchors that repeat go on.
+hash of ``length / 2 + 1`` bytes is an anchor. Equal windows have equal anchors
+at equal places, so a window can only repeat if its anchor does, and a text is a
+string of anchor names, a hundredth as long. An anchor's bytes reach at least to
+the next anchor, so no byte lies between names. Only anchors that repeat go on.
 
 1. Sample the positions of that string whose index is not 0 modulo 3 (the
    difference cover), take the triples that begin there, sort the triples that
@@ -53,9 +54,15 @@ def slide(values: np.ndarray, width: int, best) -> np.ndarray:
     return best(values[: len(values) - (width - size)], values[width - size:]) if size < width else values
 
 
+def anchor_length(length: int) -> int:
+    """Bytes of an anchor: no fewer than the places in a window where one can
+    begin, hence than the largest step to the next anchor."""
+    return length // 2 + 1
+
+
 def window_minima(data: np.ndarray, length: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every half-length string, and of each window its smallest."""
-    half = length // 2
+    """Hash of every string of an anchor's length, and of each window its smallest."""
+    half = anchor_length(length)
     hashes = window_hashes(data, half, sums)
     width = length - half + 1
     return hashes, slide(hashes, width, np.minimum) if len(hashes) >= width else np.empty(0, U64)
@@ -66,7 +73,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     hashes, low = window_minima(data, length, prefix_sums(data))
     if not len(low):
         return np.empty(0, np.int64), np.empty(0, U64)
-    pad = np.zeros(length - length // 2, U64)
+    pad = np.zeros(length - anchor_length(length), U64)
     at = np.flatnonzero(slide(np.r_[pad, low, pad], len(pad) + 1, np.maximum) == hashes)
     return at, hashes[at]
 
@@ -113,7 +120,7 @@ def repeats(parse: DataFrame, length: int) -> DataFrame:
     """tid, at, span, keeper: places of names that repeat and span ``length``
     bytes; ``keeper`` says that the place keeps the bytes of its name for the
     merge. ``parse`` is the string of names by text (see the module's text)."""
-    level = parse.select("tid", F.lit(0).alias("chain"), "q", "at", F.lit(length // 2).alias("span"), "name")
+    level = parse.select("tid", F.lit(0).alias("chain"), "q", "at", F.lit(anchor_length(length)).alias("span"), "name")
     found = None
     while True:
         of_text = Window.partitionBy("tid", "chain").orderBy("q")
