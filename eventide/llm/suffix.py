@@ -17,11 +17,13 @@ the next anchor, so no byte lies between names. Only anchors that repeat go on.
    repeat; one place keeps the bytes, the others need no further work.
 3. Merge the remaining suffixes, which begin at any byte of the parsed
    regions that is not inside such a place: their prefixes of ``length`` bytes,
-   as 64-bit fingerprints, are cut into ranges, merged in order, and adjacent
+   as fingerprints of 126 bits, are cut into ranges, merged in order, and adjacent
    ones compared. Equal ones are repeats.
 
-Fingerprints of ``length`` bytes decide equality; two different prefixes share
-one with probability 2**-64.
+Fingerprints of ``length`` bytes decide equality: a 64-bit hash modulo 2**64 and
+one of 62 bits modulo two primes. Among n different prefixes, n**2 / 2**127
+pairs are expected to share both. Names are the second hash alone; a name counts
+only in a triple, with its neighbours.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import (U64, prefix_sums, row_key, run_edges, sized, slices, strings, table, text_or_empty,
+from .common import (U64, mix, prefix_sums, row_key, run_edges, sized, slices, strings, table, text_or_empty,
                      window_hashes, written)
 
 LENGTH = 400
@@ -43,6 +45,48 @@ PACKET_BITS = 8
 #: Bytes of candidate text in one range of the merge, on average.
 RANGE_BYTES = 4 << 20
 LEAST_RANGES = 64
+#: Moduli of the second hash, with a base for each. Modulo 2**64 alone, strings
+#: after Thue and Morse share a hash whatever the base.
+FIELDS = ((2**31 - 1, 0x2545F491), (2**31 - 19, 0x5851F42D))
+
+
+class FieldPowers:
+    """Powers of the bases and of their inverses, grown on demand."""
+
+    def __init__(self) -> None:
+        self.known = [[np.ones(1, U64), np.ones(1, U64)] for _ in FIELDS]
+
+    def upto(self, n: int) -> list[list[np.ndarray]]:
+        for (prime, base), both in zip(FIELDS, self.known, strict=True):
+            for k, b in enumerate((base, pow(base, -1, prime))):
+                while len(both[k]) <= n:
+                    step = U64(pow(b, len(both[k]), prime))
+                    both[k] = np.r_[both[k], both[k] * step % U64(prime)]
+        return self.known
+
+
+FIELD_POWERS = FieldPowers()
+
+
+def field_sums(data: np.ndarray) -> list[np.ndarray]:
+    """Prefix sums of the second hash, one array by modulus."""
+    out = []
+    for (prime, _), (up, _) in zip(FIELDS, FIELD_POWERS.upto(len(data)), strict=True):
+        sums = np.zeros(len(data) + 1, U64)
+        np.cumsum(data.astype(U64) * up[: len(data)] % U64(prime), out=sums[1:])
+        out.append(sums)
+    return out
+
+
+def field_hashes(sums: list[np.ndarray], k: int) -> np.ndarray:
+    """Second hash of every run of ``k`` bytes."""
+    n = len(sums[0]) - k
+    if n <= 0:
+        return np.empty(0, U64)
+    out = np.zeros(n, U64)
+    for (prime, _), (_, down), own in zip(FIELDS, FIELD_POWERS.upto(n), sums, strict=True):
+        out = (out << U64(31)) | ((own[k:] - own[:n]) % U64(prime) * down[:n] % U64(prime))
+    return mix(out)
 
 
 def slide(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -60,17 +104,17 @@ def anchor_length(length: int) -> int:
     return length // 2 + 1
 
 
-def window_minima(data: np.ndarray, length: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def window_minima(sums: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every string of an anchor's length, and of each window its smallest."""
     half = anchor_length(length)
-    hashes = window_hashes(data, half, sums)
+    hashes = field_hashes(sums, half)
     width = length - half + 1
     return hashes, slide(hashes, width, np.minimum) if len(hashes) >= width else np.empty(0, U64)
 
 
 def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes that are the smallest of some window (all of them, on ties)."""
-    hashes, low = window_minima(data, length, prefix_sums(data))
+    hashes, low = window_minima(field_sums(data), length)
     if not len(low):
         return np.empty(0, np.int64), np.empty(0, U64)
     pad = np.zeros(length - anchor_length(length), U64)
@@ -157,8 +201,8 @@ class Suffixes:
 
     def __init__(self, text: bytes, names: np.ndarray, spans: list[tuple[int, int, bool]], length: int) -> None:
         data = np.frombuffer(text, np.uint8)
-        sums = prefix_sums(data)
-        _, low = window_minima(data, length, sums)
+        sums = field_sums(data)
+        _, low = window_minima(sums, length)
         open_at = np.isin(low, names)
         self.covered = np.zeros(len(data) + 1, np.int32)
         for at, span, keeper in spans:
@@ -167,7 +211,8 @@ class Suffixes:
             if not keeper:
                 open_at[at:at + span - length + 1] = False
         self.starts = np.flatnonzero(open_at)
-        self.prints = window_hashes(data, length, sums)[self.starts]
+        self.prints = np.column_stack(
+            [window_hashes(data, length, prefix_sums(data))[self.starts], field_hashes(sums, length)[self.starts]])
         self.length, self.text = length, text
 
     def removed(self, repeat: np.ndarray) -> np.ndarray:
@@ -191,11 +236,20 @@ def _range_of(prints: np.ndarray, ranges: int) -> np.ndarray:
     return ((prints >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
 
 
+def _ranked(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the fingerprints, and which in it equal the one before."""
+    order = np.lexsort((prints[:, 1], prints[:, 0]))
+    ranked = prints[order]
+    return order, np.r_[False, (ranked[1:] == ranked[:-1]).all(1)][:len(prints)]
+
+
 def _packed(packet: pa.Table, length: int, ranges: int) -> pa.Table:
     """A packet's distinct fingerprints in order, cut at the ranges."""
     own = _suffixes(packet, length)
-    prints = np.unique(np.concatenate([s.prints for s in own]))
-    cuts = np.searchsorted(_range_of(prints, ranges), np.arange(ranges + 1))
+    prints = np.concatenate([s.prints for s in own])
+    order, equal = _ranked(prints)
+    prints = prints[order[~equal]]
+    cuts = np.searchsorted(_range_of(prints[:, 0], ranges), np.arange(ranges + 1))
     full = np.flatnonzero(np.diff(cuts))
     return pa.table({
         "range": pa.array(full, pa.int64()),
@@ -206,13 +260,11 @@ def _packed(packet: pa.Table, length: int, ranges: int) -> pa.Table:
 def _compared(runs: pa.Table) -> pa.Table:
     """Merge the packets' sorted runs of a range and compare neighbours: a
     bit for each fingerprint of each packet says that another has it too."""
-    parts = [np.frombuffer(x.as_buffer(), U64) for x in runs["prints"].combine_chunks()]
+    parts = [np.frombuffer(x.as_buffer(), U64).reshape(-1, 2) for x in runs["prints"].combine_chunks()]
     every = np.concatenate(parts)
-    order = np.argsort(every, kind="stable")
-    ranked = every[order]
-    equal = ranked[1:] == ranked[:-1]
+    order, equal = _ranked(every)
     twice = np.zeros(len(every), bool)
-    twice[order] = np.r_[False, equal] | np.r_[equal, False]
+    twice[order] = equal | np.r_[equal[1:], False]
     ends = np.cumsum([len(p) for p in parts])
     masks = [np.packbits(twice[e - len(p):e]).tobytes() for e, p in zip(ends.tolist(), parts, strict=True)]
     return pa.table({"range": runs["range"], "packet": runs["packet"], "mask": pa.array(masks, pa.binary())})
@@ -224,10 +276,13 @@ RESULT = "tid long, n_removed long, n_spans long, kept_sha256 string, removed ar
 def _resolved(packet: pa.Table, masks: pa.Table, length: int, ranges: int) -> pa.Table:
     """What goes from each text of a packet."""
     own = _suffixes(packet, length) if packet.num_rows else []
-    joined = np.concatenate([s.prints for s in own]) if own else np.empty(0, U64)
-    prints, back, times = np.unique(joined, return_inverse=True, return_counts=True)
-    repeat = times > 1
-    cuts = np.searchsorted(_range_of(prints, ranges), np.arange(ranges + 1))
+    joined = np.concatenate([s.prints for s in own]) if own else np.empty((0, 2), U64)
+    order, equal = _ranked(joined)
+    nth = np.cumsum(~equal) - 1
+    back = np.empty(len(joined), np.int64)
+    back[order] = nth
+    prints, repeat = joined[order[~equal]], np.bincount(nth) > 1
+    cuts = np.searchsorted(_range_of(prints[:, 0], ranges), np.arange(ranges + 1))
     for r, mask in zip(*((masks[c].to_pylist() for c in ("range", "mask")) if masks.num_rows else ((), ())), strict=True):
         n = cuts[r + 1] - cuts[r]
         repeat[cuts[r]:cuts[r + 1]] |= np.unpackbits(np.frombuffer(mask, np.uint8), count=n).astype(bool)
