@@ -38,9 +38,9 @@ def words_of(text: str) -> list[bytes]:
 class Windows:
     """The windows of a block of benchmark items, by length in words."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, str]], n: int = WINDOW) -> None:
         self.ids: dict[bytes, int] = {}
-        spots: dict[int, dict[tuple[int, ...], list[str]]] = defaultdict(lambda: defaultdict(list))
+        spots: dict[int, dict[tuple[int, ...], list[str | None]]] = defaultdict(lambda: defaultdict(list))
         for item, text in items:
             own = [self.ids.setdefault(w, len(self.ids) + 1) for w in words_of(text)]
             size = min(n, len(own))
@@ -52,10 +52,10 @@ class Windows:
             keys = np.array(list(found), np.int64)
             hashes = np.array([window_hashes(k.astype(U64), size)[0] for k in keys], U64)
             order = np.argsort(hashes, kind="stable")
-            names = [sorted(set(x)) for x in found.values()]
+            names = [list(set(x)) for x in found.values()]
             self.by_size[size] = (hashes[order], keys[order], [names[i] for i in order])
 
-    def hits(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
+    def hits(self, words: list[bytes]) -> tuple[np.ndarray, set[str | None]]:
         """Hit flag by word, and the items whose windows occur."""
         ids = np.fromiter(map(self.ids.get, words, _ZEROS), np.int64, len(words))
         hit, items = np.zeros(len(words), bool), set()
@@ -88,7 +88,9 @@ class _Zeros:
 
 _ZEROS = _Zeros()
 
-FOUND = "n_words long, hits array<struct<from:long,to:long>>, items array<string>"
+#: Names of the columns that scan() adds; no column of the documents has them.
+N_WORDS, HITS, ITEMS = "__n_words", "__hits", "__items"
+FOUND = f"`{N_WORDS}` long, `{HITS}` array<struct<from:long,to:long>>, `{ITEMS}` array<string>"
 
 
 def _scan(block, columns: list[str], n: int):
@@ -104,18 +106,18 @@ def _scan(block, columns: list[str], n: int):
                     starts, ends = run_edges(hit)
                     counts.append(len(words))
                     hits.append([{"from": a, "to": b} for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-                    items.append(sorted(found))
+                    items.append([*sorted(found - {None}), *found & {None}])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in columns]
                     + [pa.array(counts, pa.int64()), pa.array(hits, kind), pa.array(items, pa.list_(pa.string()))],
-                    [*columns, "n_words", "hits", "items"])
+                    [*columns, N_WORDS, HITS, ITEMS])
     return run
 
 
-def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str | None, str]]]:
     """Items in blocks of at most ``most_words`` words (or one item)."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).filter(
-        "item is not null and text is not null")
+        "text is not null")
     block, size = [], 0
     for r in rows.toLocalIterator():
         n = len(words_of(r["text"]))
@@ -128,8 +130,8 @@ def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str, s
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with ``n_words``, ``hits`` (word runs inside occurrences of a
-    block's windows, per block) and ``items`` (whose windows occur).
+    """``docs`` with N_WORDS, HITS (word runs inside occurrences of a block's
+    windows, per block) and ITEMS (ids whose windows occur).
 
     Needs columns doc_id and text; passes all columns through. More than one
     block: passes over the written result of the pass before."""
@@ -140,12 +142,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block_words: in
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
         if k:
             out = written(out, "decontam").withColumnsRenamed(
-                {"n_words": "__words", "hits": "__hits", "items": "__items"})
-            schema += ", `__words` long, `__hits` array<struct<from:long,to:long>>, `__items` array<string>"
+                {N_WORDS: "__words", HITS: "__hits_before", ITEMS: "__items_before"})
+            schema += (", `__words` long, `__hits_before` array<struct<from:long,to:long>>, "
+                       "`__items_before` array<string>")
         out = out.mapInArrow(_scan(shared, out.columns, n), f"{schema}, {FOUND}")
         if k:
-            out = out.select(*columns, "n_words", F.concat("__hits", "hits").alias("hits"),
-                             F.array_union("__items", "items").alias("items"))
+            out = out.select(*columns, N_WORDS, F.concat("__hits_before", HITS).alias(HITS),
+                             F.array_union("__items_before", ITEMS).alias(ITEMS))
     return out
 
 
@@ -165,20 +168,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per row.
 
     Null or wordless texts have no words and no hits. Benchmark items with a
-    null id or text are skipped; rows repeated in either table are scanned as
+    null text are skipped; those with a null id count as one item, which
+    items_sha256 leaves out, as in SQL; rows repeated in either table are scanned as
     they are. Items of the same id count once. Empty tables give no rows or no
     hits. Only doc_id and text (item_id and text) are read."""
     found = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, n, block_words)
     return found.select(
-        "doc_id", "n_words", _union_length("hits").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.array_sort("items")).cast("binary"), 256).alias("items_sha256"),
-        (F.size("hits") > 0).alias("contaminated"))
+        "doc_id", F.col(N_WORDS).alias("n_words"), _union_length(HITS).alias("n_hit"),
+        F.size(ITEMS).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(ITEMS)).cast("binary"), 256).alias("items_sha256"),
+        (F.size(HITS) > 0).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """The rows without any hit, all columns; one map-only pass."""
-    return scan(docs, benchmark, n).filter(F.size("hits") == 0).select(*docs.columns)
+    return scan(docs, benchmark, n).filter(F.size(HITS) == 0).select(*docs.columns)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -189,11 +193,13 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFra
         return text.combine(hits, _cut_one)
 
     found = scan(docs, benchmark, n)
-    return found.withColumn("text", F.when(F.size("hits") > 0, cut("text", "hits")).otherwise(F.col("text"))).select(
+    return found.withColumn("text", F.when(F.size(HITS) > 0, cut("text", HITS)).otherwise(F.col("text"))).select(
         *docs.columns)
 
 
-def _cut_one(text: str, hits) -> str:
+def _cut_one(text: str | None, hits) -> str | None:
+    if text is None:  # the function is called for rows without hits too
+        return None
     raw = text.encode()
     spots = [(m.start(), m.end()) for m in WORD_AT.finditer(raw.lower())]
     kept, at = [], 0
