@@ -42,8 +42,9 @@ STAGES = [
     ("bpe", encode_stage),
 ]
 
-#: The classifier and the merges cannot be written in SQL; tests hold every
-#: stage against a brute-force version instead.
+#: The classifier and the merges cannot be written in SQL. tests/llm/test_pipeline.py
+#: holds the rows that the first four stages and run() keep against brute force
+#: (the classifier's against its own model); token ids are in test_operators.py.
 ORACLE_SQL = None
 
 
