@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -125,3 +127,81 @@ def copies(rows: list[tuple[int, str | None]]) -> list[tuple]:
         keep = min(groups[norm])[1]
         out.append((doc, keep, len(groups[norm]), doc == keep, sha(norm)))
     return out
+
+
+BEHIND = (1 << 63) - 1
+
+
+def earlier_windows(rows, size: int) -> list[tuple]:
+    """(doc_id, n_words, n_removed, kept_sha256); a null doc_id is behind all others."""
+    texts = [(d, (t or "").encode().split()) for d, t in rows]
+    least = {}
+    for d, w in texts:
+        for i in range(len(w) - size + 1):
+            g = tuple(w[i:i + size])
+            least[g] = min(least.get(g, BEHIND), BEHIND if d is None else d)
+    out = []
+    for d, w in texts:
+        gone = set()
+        for i in range(len(w) - size + 1):
+            if least[tuple(w[i:i + size])] < (BEHIND if d is None else d):
+                gone.update(range(i, i + size))
+        out.append((d, len(w), len(gone), sha(b" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return out
+
+
+def trie(rows) -> list[tuple]:
+    """Nodes of the trie of rebuilt conversations, from all prefixes."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            own[c].append((turn is not None, turn or 0, role, sha(f"{len(role.encode())}:{role}{text}"), text))
+    own = {c: [(r, t) for _, _, r, _, t in sorted(turns)] for c, turns in own.items()}
+    members, ends, children = defaultdict(list), defaultdict(list), Counter()
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        path = (*own.get(c - int(math.fmod(c, 100)), [])[:h], *turns[h:])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+        ends[path].append(c)
+    children.update(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for path, convs in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += children[path] == 0
+            saved[path[:d]] += (len(convs) - 1) * len(path[-1][1]) if path else 0
+    return [(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+             sha(",".join(map(str, sorted(ends[p]))))) for p, m in members.items()]
+
+
+def runs(words: list, least: int = 12) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, period by period."""
+    out = []
+    for q in range(1, len(words) // 2 + 1):
+        start = None
+        for i in range(len(words) - q + 1):
+            if i + q < len(words) and words[i] == words[i + q]:
+                start = i if start is None else start
+            elif start is not None:
+                part = words[start:i + q]
+                if len(part) >= max(least, 2 * q) and not any(part[r:] == part[:-r] for r in range(1, q)):
+                    out.append((start, len(part), q))
+                start = None
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(doc, text: str | None, edited: bool = True) -> tuple:
+    w = (text or "").encode().split()
+    if edited and doc is not None and w:
+        h = zlib.crc32(str(doc).encode())
+        if h % 10 == 0:
+            g = h // 10
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+    found = runs(w)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return (doc, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in found)), sha(b" ".join(x for i, x in enumerate(w) if i not in gone)))
