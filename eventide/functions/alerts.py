@@ -18,7 +18,7 @@ MESSAGE_TEMPLATE = (
     "Region: %s\n"
     "Count: %d\n"
     "Window: %s - %s\n"
-    "Z-score: %.6f\n"
+    "Z-score: %s\n"
     "Severity: %s"
 )
 
@@ -88,7 +88,7 @@ def render_message(alerts: DataFrame) -> Column:
         F.col("event_count"),
         F.col("window_start"),
         F.col("window_end"),
-        F.col("z_score"),
+        F.col("z_score").cast("string"),
         F.col("severity"),
     )
 

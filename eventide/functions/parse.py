@@ -45,10 +45,15 @@ def parse_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
         .filter(F.col("data").isNotNull())
         .select("data.*")
         .withColumn("event_time", F.col("timestamp"))
-        .dropna(subset=list(REQUIRED_EVENT_FIELDS))
+        .transform(with_required)
     )
 
 
+def with_required(events: DataFrame) -> DataFrame:
+    """Rows that have all required fields."""
+    return events.dropna(subset=list(REQUIRED_EVENT_FIELDS))
+
+
 def reject_reason(data: Column) -> Column:
     """Why a decoded payload cannot become an event (null when it can)."""
     fields = [f.name for f in EVENT_SCHEMA.fields]

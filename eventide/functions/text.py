@@ -24,9 +24,9 @@ def iso_seconds(ts: Column) -> Column:
     return F.date_format(ts, ISO_SECONDS_PATTERN)
 
 
-def store_projection(events: DataFrame) -> DataFrame:
+def store_projection(events: DataFrame, *others: Column) -> DataFrame:
     """The 9 stored columns in order, timestamps cut to seconds and text
-    flattened to one line."""
+    flattened to one line; then ``others``."""
     out = []
     types = {f.name: f.dataType for f in events.schema.fields}
     for name in RAW_COLUMNS:
@@ -36,4 +36,4 @@ def store_projection(events: DataFrame) -> DataFrame:
         elif isinstance(types[name], T.StringType):
             c = flatten_whitespace(c)
         out.append(c.alias(name))
-    return events.select(*out)
+    return events.select(*out, *others)

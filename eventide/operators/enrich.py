@@ -1,4 +1,11 @@
-"""Left outer enrichment with the user dimension, broadcast only when small."""
+"""Left outer enrichment with the user dimension.
+
+No broadcast hint: a static size estimate is no bound, and counting rows first
+costs a read of the dimension for every plan that is built. Spark's adaptive
+execution measures the shuffled side in bytes and broadcasts it below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; a persisted snapshot (see
+``sources.dimension``) has its exact size in the plan. Beyond the bound the join
+is sort-merge, and skewed partitions are split."""
 
 from __future__ import annotations
 
@@ -6,26 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proves ``df`` has at most ``max_rows`` rows; stops reading after one more."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise the plain
-    frame, so Spark sort-merges (AQE may still switch at run time from the
-    measured shuffle size, and splits skewed partitions)."""
-    if max_rows is not None and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 def user_columns(users: DataFrame) -> DataFrame:
     """Only what enrichment needs, so the scan reads three columns."""
     return users.select("user_id", F.col("name").alias("user_name"), "region")
 
 
-def enrich_users(df: DataFrame, users: DataFrame, max_broadcast_rows: int | None = 500_000) -> DataFrame:
+def enrich_users(df: DataFrame, users: DataFrame) -> DataFrame:
     """Adds user_name and region; users not in the dimension keep nulls."""
-    dim = bounded_broadcast(user_columns(users), max_broadcast_rows)
-    return df.join(dim, "user_id", "left")
+    return df.join(user_columns(users), "user_id", "left")

@@ -7,6 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,24 +29,31 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.unionByName(new)
 
 
-def natural_key_dedup(df: DataFrame, keys: dict[str, Column], order_col: str | None = None,
-                      nullable: Sequence[str] = ()) -> DataFrame:
-    """First row per natural key: lowest ``order_col``, or the smallest whole
-    row when there is no order column (deterministic under replay).
-
-    ``keys`` maps a name to the key expression (e.g. a truncated timestamp).
-    Like a SQL unique constraint, a row with null in any ``nullable`` key
-    column never collides: such rows pass straight through without being
-    shuffled. The first row of a key is ``min(struct(...))``, an ordinary
-    aggregate that combines map-side, so a hot key is reduced before the
-    shuffle instead of being sorted in one task. ``df`` is read twice when
-    ``nullable`` is given: pass a scan or a persisted frame.
-    """
-    cols = df.columns
-    first_cols = [order_col] + [c for c in cols if c != order_col] if order_col else cols
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable]) if nullable else None
-    keyed = df if any_null is None else df.filter(~any_null)
+#: Types that an aggregate keeps in place, so that it can hash instead of sorting.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def natural_key_dedup(df: DataFrame, keys: dict[str, Column], order_col: str, nullable: Sequence[str] = ()) -> DataFrame:
+    """The row with the lowest ``order_col`` (a unique row number) of every
+    natural key.
+
+    ``keys`` maps a name to the key expression (e.g. a truncated timestamp); a
+    key named like a column of ``df`` is that column. Like a SQL unique
+    constraint, a row with null in any ``nullable`` key column never collides:
+    its row number joins its key. One scan and one shuffle on the key; the
+    aggregate combines map-side, so a hot key is reduced before it, and hashes
+    as long as the columns outside the key are of fixed width (text there makes
+    Spark sort instead)."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in nullable], F.lit(False))
     group = [expr.alias(f"_k_{name}") for name, expr in keys.items()]
-    first = keyed.groupBy(*group).agg(F.min(F.struct(*first_cols)).alias("_first"))
-    out = first.select(*[F.col(f"_first.{c}").alias(c) for c in cols])
-    return out if any_null is None else out.unionByName(df.filter(any_null))
+    rest = [c for c in fields if c not in keys and c != order_col]
+    narrow = [c for c in rest if isinstance(fields[c], FIXED_WIDTH)]
+    wide = [c for c in rest if c not in narrow]
+    best = [F.min_by(F.col(c), F.col(order_col)).alias(c) for c in narrow]
+    if wide:
+        best.append(F.min_by(F.struct(*wide), F.col(order_col)).alias("_wide"))
+    first = df.groupBy(*group, F.when(any_null, F.col(order_col)).alias("_alone")).agg(
+        F.min(order_col).alias(order_col), *best)
+    return first.select(*(F.col(f"_k_{c}").alias(c) if c in keys else F.col(f"_wide.{c}") if c in wide else F.col(c)
+                          for c in fields))

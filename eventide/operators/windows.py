@@ -8,51 +8,45 @@ from pyspark.sql import functions as F
 from ..config import WindowSpec
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-
-
-def duration_seconds(duration: str) -> int:
-    """'5 seconds' / '1 minute' / '1 day' -> whole seconds."""
-    amount, unit = duration.strip().split()
-    return int(amount) * _UNIT_SECONDS[unit.lower().rstrip("s")]
-
-
 def window_counts(events: DataFrame, length: str, slide: str | None = None, *,
                   time_col: str = "event_time", key: str = "user_id",
                   watermark: str | None = None) -> DataFrame:
     """(window struct, key) -> event_count.
 
     Every form feeds a partial (map-side) hash aggregate, so a hot key is
-    combined before the one shuffle on (window, key). With ``watermark`` it is
-    Spark's ``window()`` as a stateful streaming aggregate that drops late
-    rows and evicts finished windows. On bounded input a sliding window is a
-    slide-sized tumbling bucket plus ``explode`` of the ceil(length/slide)
-    window starts that cover it (same windows as ``window()``): unlike the
-    Expand that ``window()`` plans, this shape lets Spark reuse the count
-    shuffle for the batch statistics read from the same counts.
+    combined before a shuffle. With ``watermark`` it is a stateful streaming
+    aggregate over ``window()`` that drops late rows and evicts finished
+    windows. On bounded input a sliding window counts panes of its slide first:
+    ``window()`` then expands a pane's count to the windows that cover it, not
+    every event, so the expansion does not grow with how often a user acts, and
+    follows a shuffle that spreads it. A pane lies within all windows that its
+    events are in, as long as the length is a multiple of the slide; other
+    lengths count the events themselves.
     """
     slide = slide or length
     df = events.select(key, time_col)
     if watermark:
         df = df.withWatermark(time_col, watermark)
-    elif duration_seconds(slide) != duration_seconds(length):
-        return _sliding_counts(df, length, slide, time_col, key)
+    elif slide != length and _whole_panes(df, length, slide):
+        return _pane_counts(df, length, slide, time_col, key)
     win = F.window(F.col(time_col), length, slide)
     return df.groupBy(win.alias("window"), F.col(key)).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def _sliding_counts(df: DataFrame, length: str, slide: str, time_col: str, key: str) -> DataFrame:
-    step, span = duration_seconds(slide), duration_seconds(length)
-    if step > span:
-        raise ValueError(f"slide {slide!r} is longer than the window {length!r}")
-    n = -(-span // step)
-    bucket = F.window(F.col(time_col), slide).start
-    starts = df.select(key, time_col, bucket.alias("_b"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
-    start = F.col("_b") - F.col("_i") * F.expr(f"INTERVAL '{step}' SECOND")
-    end = start + F.expr(f"INTERVAL '{span}' SECOND")
-    win = F.struct(start.alias("start"), end.alias("end")).alias("window")
-    covering = starts.select(key, time_col, win).filter(F.col("window.end") > F.col(time_col))
-    return covering.groupBy("window", key).agg(F.count(F.lit(1)).alias("event_count"))
+def _whole_panes(df: DataFrame, length: str, slide: str) -> bool:
+    """Whether the length is a multiple of the slide (Spark reads the durations;
+    intervals of months have no fixed length and are no windows either)."""
+    micros = "unix_micros(timestamp'1970-01-01 00:00:00 UTC' + INTERVAL {})"
+    one, other = df.sparkSession.sql(f"SELECT {micros.format(length)}, {micros.format(slide)}").first()  # folded: no job
+    return other > 0 and one % other == 0
+
+
+def _pane_counts(df: DataFrame, length: str, slide: str, time_col: str, key: str) -> DataFrame:
+    pane = F.window(F.col(time_col), slide).start
+    # the filter, which window() would add above, lets a plan that reads the counts twice reuse this shuffle
+    panes = df.groupBy(pane.alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("pane").isNotNull())
+    win = F.window(F.col("pane"), length, slide)
+    return panes.groupBy(win.alias("window"), F.col(key)).agg(F.sum("n").alias("event_count"))
 
 
 def flatten_window(counts: DataFrame, key: str = "user_id") -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators.enrich import enrich_users
 from ..operators.merge import insert_ignore, merge_upsert, natural_key_dedup
 from ..operators.tail import tail_log
 from ..operators.windows import flatten_window, window_counts
-from ..schemas import SUMMARY_KEY
+from ..schemas import RAW_COLUMNS, SUMMARY_KEY
 from ..sources.payloads import event_payloads
 from ..sources.tables import activity, table, typed_events, users_dimension
 
@@ -158,7 +158,7 @@ def required_fields_filter(spark, sf_dir):
         F.when(e % 13 != 0, F.col("action")).alias("action"),
         F.when(e % 17 != 0, F.col("event_time")).alias("event_time"),
     )
-    return blanked.dropna(subset=["user_id", "product_id", "action", "event_time"])
+    return P.with_required(blanked)
 
 
 def raw_store_projection(spark, sf_dir):
@@ -174,18 +174,17 @@ def _documents_as_rows(spark, sf_dir):
     """Documents in the stored-event shape: whole text as location, source as
     user_segment, lang as device_type; time from the id."""
     docs = table(spark, sf_dir, "documents")  # one length check per row: not worth a shuffle
-    return docs.select(
-        F.col("doc_id").cast("int").alias("user_id"),
-        F.col("n_chars").cast("int").alias("product_id"),
-        F.col("lang").alias("action"),
-        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(secs=F.col("doc_id").cast("decimal(18,6)"))).alias("timestamp"),
-        F.lit(None).cast("string").alias("device_id"),
-        F.col("lang").alias("device_type"),
-        F.col("text").alias("location"),
-        F.col("source").alias("user_segment"),
-        F.lit(None).cast("string").alias("ip_address"),
-    )
+    day = F.expr("try_cast(doc_id % 86400 AS int)")
+    found = {
+        "user_id": F.expr("try_cast(doc_id AS int)"),
+        "product_id": F.expr("try_cast(n_chars AS int)"),
+        "action": F.col("lang"),
+        "timestamp": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=day),
+        "device_type": F.col("lang"),
+        "location": F.col("text"),
+        "user_segment": F.col("source"),
+    }
+    return docs.select(*(found.get(c, F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS))
 
 
 def constraint_violations(spark, sf_dir):
@@ -210,11 +209,14 @@ def natural_key_dedup_q(spark, sf_dir):
 def _merge_inputs(spark, sf_dir):
     """All events, each counted by day on exactly one side: even event ids in
     the target, odd ones in the source. Keys of both sides mostly carry
-    different counts, so upsert and insert-ignore differ."""
-    act, odd = typed_events(spark, sf_dir), F.col("event_id") % 2 != 0
-    target, source = (flatten_window(window_counts(act.filter(side).select("user_id", "event_time"), DAY))
-                      for side in (~odd, odd))
-    return target, source
+    different counts, so upsert and insert-ignore differ. Both counts are one
+    sum (a day of a user has fewer than 2**31 events), so that the two sides
+    read the same shuffle of one scan."""
+    act = typed_events(spark, sf_dir)
+    one = F.when(F.col("event_id") % 2 != 0, F.lit(1 << 32)).otherwise(F.lit(1).cast("long"))
+    both = act.groupBy(F.window("event_time", DAY).alias("window"), "user_id").agg(F.sum(one).alias("n"))
+    sides = (F.col("n").bitwiseAND((1 << 32) - 1), F.shiftright("n", 32))
+    return [flatten_window(both.withColumn("event_count", n)).filter("event_count > 0") for n in sides]
 
 
 def merge_upsert_q(spark, sf_dir):

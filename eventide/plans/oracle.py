@@ -61,7 +61,7 @@ NL = "chr(10)"
 MESSAGE = (
     f"'⚠️ Anomaly detected:' || {NL} || 'User: ' || CAST(user_id AS VARCHAR) || ' (' || coalesce(user_name, 'Unknown') || ')' || {NL}"
     f" || 'Region: ' || coalesce(region, 'Unknown') || {NL} || 'Count: ' || CAST(event_count AS VARCHAR) || {NL}"
-    f" || 'Window: ' || window_start || ' - ' || window_end || {NL} || 'Z-score: ' || printf('%.6f', z_score) || {NL}"
+    f" || 'Window: ' || window_start || ' - ' || window_end || {NL} || 'Z-score: ' || CAST(z_score AS VARCHAR) || {NL}"
     f" || 'Severity: ' || severity"
 )
 
@@ -94,15 +94,22 @@ MERGE_INPUTS = with_(
     tumbling("s", "1 day", "WHERE event_id % 2 <> 0"),
 )
 
-def stream_batches(length: str, starts: int, name: str = "em") -> list[str]:
-    """Per-trigger anomalies of a streamed window count: slice k of whole days
-    is one micro-batch; it changes every window its events touch, with the
+def stream_batches(length: str, starts: int, name: str = "em", watermark: str | None = None) -> list[str]:
+    """Per-trigger anomalies of a streamed window count: slice k is one
+    micro-batch; it changes every window its events touch, with the
     count of all events of that window up to the end of the slice; statistics
-    are per batch. ``starts`` = windows per event (length / 5 s slide)."""
+    are per batch. ``starts`` = windows per event (length / 5 s slide). With a
+    ``watermark``, a window that ended by the newest time of all earlier slices
+    (in milliseconds) less the watermark takes no more events."""
     p = name + "_"
+    every = (f"SELECT k, user_id, time_bucket(INTERVAL '5 seconds', ts, TIMESTAMP '1970-01-01')"
+             f" - i * INTERVAL '5 seconds' AS window_start FROM sl, range({starts}) t(i)")
+    if watermark:
+        every = f"""SELECT e.*, coalesce(e.window_start + INTERVAL '{length}' <= wm.newest - INTERVAL '{watermark}', false) AS late
+        FROM ({every}) e JOIN wm USING (k)"""
     return [
-        f"{p}w AS (SELECT k, user_id, time_bucket(INTERVAL '5 seconds', ts, TIMESTAMP '1970-01-01')"
-        f" - i * INTERVAL '5 seconds' AS window_start FROM sl, range({starts}) t(i))",
+        f"{p}e AS ({every})",
+        f"{p}w AS (SELECT k, user_id, window_start FROM {p}e{' WHERE NOT late' if watermark else ''})",
         f"{p}t AS (SELECT DISTINCT k, user_id, window_start FROM {p}w)",
         f"""{p}g AS (SELECT t.k, t.user_id, t.window_start, t.window_start + INTERVAL '{length}' AS window_end,
                 COUNT(*) AS event_count
@@ -125,6 +132,27 @@ STREAM_BASE = [
     """sl AS (SELECT gd.*, CAST(floor(date_diff('day', lo, CAST(ts AS DATE))
                 / ceil((date_diff('day', lo, hi) + 1) / 4.0)) AS INTEGER) AS k FROM gd, b)""",
 ]
+# The redelivered feed: drawn together in time, with late and repeated deliveries.
+REDELIVERED = [
+    EV,
+    f"""dn AS (SELECT * REPLACE (make_timestamp(lo + (epoch_us(ts) - lo) // 720) AS ts), CAST(ts AS DATE) AS day
+             FROM ev, (SELECT min(epoch_us(ts)) AS lo FROM ev))""",
+    f"""gd AS (SELECT dn.*, CAST(floor(date_diff('day', d.lo, day) / ceil((date_diff('day', d.lo, d.hi) + 1) / 4.0)) AS INTEGER) AS k0,
+              CAST(floor(date_diff('day', d.lo, d.hi) / ceil((date_diff('day', d.lo, d.hi) + 1) / 4.0)) AS INTEGER) AS k9
+              FROM dn, (SELECT min(day) AS lo, max(day) AS hi FROM dn) d {GOOD})""",
+    """sl AS (SELECT * EXCLUDE (k0, k9, day), unnest(CASE WHEN event_id % 16 = 7 THEN [least(k0 + 1, k9)]
+              WHEN event_id % 8 = 5 THEN [k0, least(k0 + 1, k9)] WHEN event_id % 32 = 9 THEN [k0, k0] ELSE [k0] END) AS k
+              FROM gd)""",
+    """wm AS (SELECT a.k, date_trunc('milliseconds', max(b.ts)) AS newest
+              FROM (SELECT DISTINCT k FROM sl) a LEFT JOIN sl b ON b.k < a.k GROUP BY a.k)""",
+]
+# Per natural key: the first slice that brings it, and of that slice the smallest product.
+REDELIVERED_STORE = REDELIVERED + [
+    "st AS (SELECT *, date_trunc('second', ts) AS sec FROM sl)",
+    """ky AS (SELECT user_id, sec, action, device_id, arg_min(product_id, k * 4294967296 + product_id) AS product_id,
+              COUNT(*) AS n FROM st WHERE device_id IS NOT NULL GROUP BY ALL)""",
+]
+
 STREAM_ALERT_COLS = f"""e.user_id, {ISO.format(c='e.window_start')} AS window_start, {ISO.format(c='e.window_end')} AS window_end,
        e.event_count, e.z_score, e.severity, us.user_name, us.region"""
 
@@ -229,7 +257,21 @@ SELECT logged_at, event_id, type, payload, max(logged_at) OVER () AS next_cursor
     "stream_summary_5s": with_(EV, tumbling("g", "5 seconds", GOOD)) + "SELECT * FROM g",
     "stream_anomalies_1min": with_(EV, SLIDING.replace("FROM ev, range(12)", f"FROM (SELECT * FROM ev {GOOD}) ev, range(12)"), STATS) + "SELECT * FROM em",
     "stream_alerts_1min": stream_alerts("1 minute", 12),
-    "stream_alerts_5s": stream_alerts("5 seconds", 1),
+    "stream_alerts_5s": with_(*REDELIVERED, *stream_batches("5 seconds", 1, "em", "30 seconds"), US) + f"""
+SELECT {STREAM_ALERT_COLS} FROM em e LEFT JOIN us USING (user_id) WHERE e.severity IN ('high', 'medium')""",
+    "stream_late_dropped": with_(*REDELIVERED, *stream_batches("5 seconds", 1, "em5", "30 seconds"),
+                                 *stream_batches("1 minute", 12, "em60", "2 minutes")) + "\nUNION ALL\n".join(f"""
+SELECT CAST(e.k AS BIGINT) AS slice, '{tag}' AS "window", any_value(g.n) AS changed, CAST(any_value(g.s1) AS BIGINT) AS events,
+       COUNT(DISTINCT CASE WHEN late THEN (user_id, window_start) END) AS dropped
+FROM {name}_e e JOIN {name}_st g USING (k) GROUP BY e.k""" for tag, name in (("5s", "em5"), ("1min", "em60"))),
+    "stream_duplicate_letters": with_(*REDELIVERED_STORE) + """
+SELECT 'duplicate_key' AS reason, user_id, CAST(SUM(n - 1) AS BIGINT) AS refused FROM ky WHERE n > 1 GROUP BY user_id""",
+    "job_log_tail": with_(*REDELIVERED, *stream_batches("5 seconds", 1, "em", "30 seconds")) + f"""
+SELECT type, user_id, window_start, event_count, severity, records FROM (
+  SELECT k, 'anomaly' AS type, user_id, {ISO.format(c='window_start')} AS window_start, event_count, severity,
+         CAST(NULL AS BIGINT) AS records FROM em WHERE severity IN ('high', 'medium')
+  UNION ALL SELECT k, 'agg_batch', NULL, NULL, NULL, NULL, n FROM em_st) r
+ORDER BY k DESC, type DESC, user_id DESC, window_start DESC LIMIT 10""",
     "stream_notifications": STREAM_NOTIFICATIONS,
     "stream_agg_audit": STREAM_AGG_AUDIT,
     "stream_dead_letters": """
@@ -237,11 +279,12 @@ SELECT CASE event_id % 50 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'invalid_time
             WHEN 2 THEN 'invalid_user_id' WHEN 3 THEN 'missing_action' ELSE 'empty_payload' END AS reason,
        COUNT(*) AS rejected
 FROM events WHERE event_id % 50 IN (0, 1, 2, 3, 4) GROUP BY 1""",
-    "stream_raw_store": with_(EV) + f"""
-SELECT user_id, product_id, action, date_trunc('second', ts) AS "timestamp", device_id,
+    "stream_raw_store": with_(*REDELIVERED_STORE) + """
+SELECT user_id, product_id, action, sec AS "timestamp", device_id,
        CAST(NULL AS VARCHAR) AS device_type, CAST(NULL AS VARCHAR) AS location,
        CAST(NULL AS VARCHAR) AS user_segment, CAST(NULL AS VARCHAR) AS ip_address
-FROM ev {GOOD}""",
+FROM (SELECT user_id, product_id, action, sec, device_id FROM ky
+      UNION ALL SELECT user_id, product_id, action, sec, device_id FROM st WHERE device_id IS NULL)""",
     "stream_archive_parquet": with_(EV) + f"""
 SELECT user_id, product_id, action, ts AS "timestamp", device_id,
        CAST(NULL AS VARCHAR) AS device_type, CAST(NULL AS VARCHAR) AS location,

@@ -48,6 +48,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_raw_store": S.stream_raw_store,
     "stream_dead_letters": S.stream_dead_letters,
     "stream_agg_audit": S.stream_agg_audit,
+    "stream_duplicate_letters": S.stream_duplicate_letters,
+    "stream_late_dropped": S.stream_late_dropped,
+    "job_log_tail": S.job_log_tail,
 }
 
 

@@ -1,13 +1,17 @@
 """Stream queries over the driver's tables.
 
-``events`` is turned into event text (with the parser's reject cases) and
-fed to the streaming job in time-ordered slices of whole days: each slice
-is appended to the source folder by one Spark write, then the four queries
-run with an ``availableNow`` trigger and stop. The next slice restarts them
-from their checkpoints, so state, watermarks, update output and keyed
-upserts carry across micro-batches and restarts. Slices follow event time,
-so nothing is late and the end state equals the batch result; each slice is
-one data micro-batch, so per-batch results are known in closed form too.
+``events`` is turned into event text (with the parser's reject cases) and fed to
+the streaming job in slices: each slice is appended to the source folder by one
+Spark write, then the four queries run with an ``availableNow`` trigger and
+stop. The next slice restarts them from their checkpoints, so state, watermarks,
+update output and keyed upserts carry across micro-batches and restarts. Each
+slice is one data micro-batch, so per-batch results are known in closed form.
+
+Two feeds are run. The *ordered* feed gives whole days in time order, so nothing
+is late and the end state equals the batch result. The *redelivered* feed draws
+time together, so that windows of seconds fill, and delivers as an unreliable
+producer does: some events come a slice later, some a second time in the next
+slice or in the same one.
 """
 
 from __future__ import annotations
@@ -15,30 +19,35 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import time
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..schemas import DOCUMENT_SCHEMA, MESSAGE_SCHEMA
 from ..operators import anomaly as AN
+from ..operators.tail import tail_log
+from ..schemas import DOCUMENT_SCHEMA, LETTER_SCHEMA, MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sinks.outputs import Outputs
-from ..sources.payloads import event_payloads
-from ..sources.tables import users_dimension
+from ..sinks.runs import Folder
+from ..sources.dimension import fixed
+from ..sources.payloads import dense_events, event_payloads, payloads_of
 from ..sources.streams import file_stream
+from ..sources.tables import users_dimension
 from ..streaming.job import run_until_done, start_queries
 from ..streaming.notify import start_notifier
 
 SLICES = 4
-_RUNS: dict[tuple[str, str], Outputs] = {}
-_RUNS_LOCK = threading.Lock()
+
+Feed = Callable[[SparkSession, str, int], Iterator[DataFrame]]
 
 
-def day_slices(payloads: DataFrame, n: int) -> list[tuple]:
+def day_slices(payloads: DataFrame, n: int, day=None) -> list[tuple]:
     """Up to n consecutive [first_day, next_first_day) ranges of whole days,
     ceil(days / n) days each, covering the table (one aggregate row)."""
-    lo, hi = payloads.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+    day = F.to_date("event_time") if day is None else day
+    lo, hi = payloads.agg(F.min(day), F.max(day)).first()
     if lo is None:
         return []
     days = (hi - lo).days + 1
@@ -47,54 +56,102 @@ def day_slices(payloads: DataFrame, n: int) -> list[tuple]:
     return list(zip(starts, starts[1:] + [None]))
 
 
-def run_stream(spark: SparkSession, sf_dir: str, settings: Settings | None = None,
-               slices: int = SLICES) -> Outputs:
-    """Run the streaming job over ``events`` slice by slice; returns where it wrote."""
+def ordered_feed(spark: SparkSession, sf_dir: str, slices: int = SLICES) -> Iterator[DataFrame]:
+    payloads = event_payloads(spark, sf_dir)
+    day = F.to_date("event_time")
+    for lo, hi in day_slices(payloads, slices):
+        part = payloads.filter(day >= F.lit(lo))
+        yield part if hi is None else part.filter(day < F.lit(hi))
+
+
+def redelivered_feed(spark: SparkSession, sf_dir: str, slices: int = SLICES) -> Iterator[DataFrame]:
+    """Deliveries by event id: 7 modulo 16 comes a slice later, 5 modulo 8
+    comes again in the next slice, 9 modulo 32 comes twice at once. The last
+    slice has no next one."""
+    payloads = payloads_of(dense_events(spark, sf_dir))
+    days = day_slices(payloads, slices, F.col("day"))
+    own = F.lit(0)
+    for k, (lo, _) in enumerate(days):
+        own = F.when(F.col("day") >= F.lit(lo), k).otherwise(own)
+    late = F.least(own + 1, F.lit(len(days) - 1))
+    e = F.col("event_id")
+    at = (F.when(e % 16 == 7, F.array(late)).when(e % 8 == 5, F.array(own, late))
+          .when(e % 32 == 9, F.array(own, own)).otherwise(F.array(own)))
+    delivered = payloads.select("value", F.explode(at).alias("slice"))
+    for k in range(len(days)):
+        yield delivered.filter(F.col("slice") == k)
+
+
+def run_stream(spark: SparkSession, sf_dir: str, settings: Settings | None = None, slices: int = SLICES,
+               feed: Feed = ordered_feed) -> Outputs:
+    """Run the streaming job over a feed slice by slice; returns where it wrote."""
     settings = settings or Settings()
     base = scratch_path(spark, "stream")
     outputs = Outputs(spark, f"{base}/out", settings)
     src, ckpt = f"{base}/source", f"{base}/checkpoints"
-    payloads = event_payloads(spark, sf_dir)
-    users = users_dimension(spark, sf_dir).cache()
+    users = fixed(users_dimension(spark, sf_dir))
     spark.createDataFrame([], "value string").write.mode("overwrite").text(src)
     source = spark.readStream.format("text").load(src)
-    processing = 0.0
-    day = F.to_date("event_time")
-    for lo, hi in day_slices(payloads, slices):
-        part = payloads.filter(day >= F.lit(lo))
-        if hi is not None:
-            part = part.filter(day < F.lit(hi))
+    processing, outputs.progress = 0.0, []
+    for k, part in enumerate(feed(spark, sf_dir, slices)):
         part.select("value").write.mode("append").text(src)
         t0 = time.perf_counter()
-        run_until_done(start_queries(spark, source, users, outputs, settings, ckpt, available_now=True))
+        queries = start_queries(spark, source, users, outputs, settings, ckpt, available_now=True)
+        run_until_done(queries)
         processing += time.perf_counter() - t0
-    users.unpersist()
+        # a few numbers a trigger, as Spark reports them
+        outputs.progress += [(k, q.name, sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress
+                                             for op in p["stateOperators"])) for q in queries]
+    users.release()
     # the notifier consumes the alert log the job wrote, as it would the topic
     t0 = time.perf_counter()
-    alerts = file_stream(spark, outputs.path("alerts") + "/source=*/batch_id=*")
+    alerts = file_stream(spark, outputs.path("alerts") + "/source=*/run=*/batch_id=*")
     start_notifier(alerts, outputs.path("notifications"), f"{ckpt}/notify", available_now=True).awaitTermination()
     processing += time.perf_counter() - t0
     outputs.processing_seconds = processing  # time spent in the streaming queries
     return outputs
 
 
-def stream_outputs(spark: SparkSession, sf_dir: str) -> Outputs:
-    """One run per session and scale; the stream keys read its outputs.
+_RUNS: dict[tuple, Outputs] = {}
+_RUNS_LOCK = threading.Lock()
+
+
+def table_state(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple:
+    """Files, sizes and times of the tables: a changed table is run again."""
+    found = []
+    for name in names:
+        folder = Folder(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        found += sorted((s.getPath().toString(), s.getLen(), s.getModificationTime())
+                        for s in folder._fs.listStatus(folder.path))
+    return tuple(found)
+
+
+def stream_outputs(spark: SparkSession, sf_dir: str, feed: Feed = ordered_feed) -> Outputs:
+    """One run per application, feed and state of the tables; the stream keys
+    read its outputs.
 
     Streaming plans get no adaptive coalescing and the state keeps the
-    partition count of its first run, so the run uses one shuffle partition
-    per core (restoring the caller's setting afterwards)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    partition count of its first run, so the run has a session of its own with
+    one shuffle partition per core."""
+    key = (spark.sparkContext.applicationId, feed.__name__,
+           table_state(spark, sf_dir, ("events", "customer", "nation", "region")))
     with _RUNS_LOCK:
         if key not in _RUNS:
-            conf = "spark.sql.shuffle.partitions"
-            before = spark.conf.get(conf)
-            spark.conf.set(conf, str(spark.sparkContext.defaultParallelism))
-            try:
-                _RUNS[key] = run_stream(spark, sf_dir)
-            finally:
-                spark.conf.set(conf, before)
-        return _RUNS[key]
+            own = spark.newSession()
+            for name in ("spark.sql.session.timeZone", "spark.checkpoint.dir",
+                         "spark.sql.streaming.stateStore.providerClass"):
+                if (value := spark.conf.get(name, None)) is not None and own.conf.isModifiable(name):
+                    own.conf.set(name, value)
+            own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+            _RUNS[key] = run_stream(own, sf_dir, feed=feed)
+        found = _RUNS[key]
+    out = Outputs(spark, found.root, found.settings, run=found.run)  # to be read in the caller's session
+    out.progress = found.progress
+    return out
+
+
+def redelivered_outputs(spark: SparkSession, sf_dir: str) -> Outputs:
+    return stream_outputs(spark, sf_dir, redelivered_feed)
 
 
 def _ntz(*cols):
@@ -129,21 +186,22 @@ def stream_archive_parquet(spark, sf_dir):
                        "location", "user_segment", "ip_address", *_ntz("event_time"))
 
 
-def _stream_alerts(spark, sf_dir, tag):
+def _stream_alerts(spark, out, tag):
     """Anomalies as a window query emitted them, trigger by trigger: each
     batch graded against the statistics of the rows it changed."""
-    out = stream_outputs(spark, sf_dir)
     docs = spark.read.schema(DOCUMENT_SCHEMA).json(out.path("documents")).filter(F.col("source") == tag)
     return docs.select("user_id", "window_start", "window_end", "event_count", "z_score", "severity",
                        "user_name", "region")
 
 
 def stream_alerts_1min(spark, sf_dir):
-    return _stream_alerts(spark, sf_dir, "1min")
+    return _stream_alerts(spark, stream_outputs(spark, sf_dir), "1min")
 
 
 def stream_alerts_5s(spark, sf_dir):
-    return _stream_alerts(spark, sf_dir, "5s")
+    """From the redelivered feed: its dense windows do hold outliers, and late
+    rows change none of them."""
+    return _stream_alerts(spark, redelivered_outputs(spark, sf_dir), "5s")
 
 
 def stream_notifications(spark, sf_dir):
@@ -154,27 +212,63 @@ def stream_notifications(spark, sf_dir):
 
 
 def stream_raw_store(spark, sf_dir):
-    """Events the raw query stored over all triggers (9 columns, one-line
-    text, whole seconds, unique on the natural key)."""
-    out = stream_outputs(spark, sf_dir)
-    raw = spark.read.parquet(out.path("user_events"))
+    """Events the raw query stored from the redelivered feed (9 columns,
+    one-line text, whole seconds), unique on the natural key over all triggers
+    and restarts."""
+    raw = redelivered_outputs(spark, sf_dir).stored_raw()
     return raw.select("user_id", "product_id", "action", *_ntz("timestamp"), "device_id", "device_type",
                       "location", "user_segment", "ip_address")
 
 
+def _letters(spark, out) -> DataFrame:
+    return spark.read.schema(LETTER_SCHEMA).json(out.path("dead_letters"))
+
+
 def stream_dead_letters(spark, sf_dir):
     """Rejected rows per reason, over all triggers of the raw query."""
-    out = stream_outputs(spark, sf_dir)
-    dl = spark.read.schema("reason string, batch_id long, row string, reported_at timestamp, source string") \
-        .json(out.path("dead_letters"))
-    return dl.groupBy("reason").agg(F.count(F.lit(1)).alias("rejected"))
+    dl = _letters(spark, stream_outputs(spark, sf_dir))
+    return dl.groupBy("reason").agg(F.sum("copies").alias("rejected"))
+
+
+def stream_duplicate_letters(spark, sf_dir):
+    """Rows whose key was stored before, by user and reason, from the redelivered feed."""
+    dl = _letters(spark, redelivered_outputs(spark, sf_dir)).filter(F.col("reason").isin("duplicate_key", "late_event"))
+    user = F.get_json_object("row", "$.user_id").cast("int")
+    return dl.groupBy("reason", user.alias("user_id")).agg(F.sum("copies").alias("refused"))
+
+
+def stream_late_dropped(spark, sf_dir):
+    """Per window query and slice of the redelivered feed: windows of users
+    that changed, and those that only late rows would have changed (Spark's
+    count of rows dropped by the watermark, taken after partial aggregation)."""
+    out = redelivered_outputs(spark, sf_dir)
+    dropped = spark.createDataFrame(out.progress, "slice long, query string, dropped long").filter(
+        F.col("query").startswith("agg_")).select("slice", F.substring("query", 5, 9).alias("window"), "dropped")
+    log = out.summary.log()
+    # each slice is one data batch of each query; the batches between only move the watermark
+    batches = log.select("source", "batch_id").distinct()
+    earlier = batches.select(F.col("source").alias("_s"), F.col("batch_id").alias("_b"))
+    nth = batches.join(earlier, (F.col("_s") == F.col("source")) & (F.col("_b") < F.col("batch_id")), "left").groupBy(
+        "source", "batch_id").agg(F.count("_b").alias("slice"))
+    changed = log.groupBy("source", "batch_id").agg(F.count(F.lit(1)).alias("changed"),
+                                                    F.sum("event_count").alias("events")).join(nth, ["source", "batch_id"])
+    return dropped.join(changed.select("slice", F.col("source").alias("window"), "changed", "events"), ["slice", "window"])
+
+
+def job_log_tail(spark, sf_dir):
+    """The newest ten records of the 5-second query in the job's own log, which
+    holds raw_batch, agg_batch and anomaly records."""
+    log = redelivered_outputs(spark, sf_dir).log_records().filter(F.col("source") == "5s")
+    payload = F.from_json("payload", "user_id int, window_start string, event_count long, severity string, records long")
+    typed = log.select("logged_at", "type", payload.alias("p")).select("logged_at", "type", "p.*")
+    page = tail_log(typed, F.lit("1970-01-01").cast("timestamp"), n=10,
+                    tiebreak=["type", "user_id", "window_start"])
+    return page.select("type", "user_id", "window_start", "event_count", "severity", "records")
 
 
 def stream_agg_audit(spark, sf_dir):
     """agg_batch records the window queries logged, one per data trigger."""
-    from ..schemas import LOG_SCHEMA
-    out = stream_outputs(spark, sf_dir)
-    log = spark.read.schema(LOG_SCHEMA).json(out.path("logs")).filter(F.col("type") == "agg_batch")
+    log = stream_outputs(spark, sf_dir).log_records().filter(F.col("type") == "agg_batch")
     rec = F.from_json("payload", "window_type string, records long, anomalies long, mean_event_count double, "
                                  "stddev_event_count double, z_threshold double")
     return log.select(rec.alias("r")).select("r.*")

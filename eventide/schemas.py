@@ -65,11 +65,30 @@ USERS_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType()),
 ])
 
+RAW_STORE_SCHEMA = T.StructType([
+    *[T.StructField(f.name, f.dataType) for f in EVENT_SCHEMA.fields],
+    T.StructField("event_date", T.DateType()),
+    T.StructField("run", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
 LOG_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("logged_at", T.TimestampType()),
     T.StructField("payload", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("run", T.LongType()),
+])
+
+LETTER_SCHEMA = T.StructType([
+    T.StructField("reason", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("row", T.StringType()),
+    T.StructField("copies", T.LongType()),
+    T.StructField("reported_at", T.TimestampType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("run", T.LongType()),
 ])
 
 DOCUMENT_SCHEMA = T.StructType([
@@ -85,6 +104,7 @@ DOCUMENT_SCHEMA = T.StructType([
     T.StructField("detected_at", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
     T.StructField("source", T.StringType()),
+    T.StructField("run", T.LongType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -95,5 +115,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("severity", T.StringType()),
     T.StructField("message", T.StringType()),
     T.StructField("source", T.StringType()),
+    T.StructField("run", T.LongType()),
     T.StructField("batch_id", T.LongType()),
 ])

@@ -1,10 +1,10 @@
 """Per-micro-batch folders written idempotently.
 
-A micro-batch lands in partition ``source=<tag>/batch_id=<id>`` of a folder
-with dynamic partition overwrite: a replay of the same batch id (after a
+A micro-batch lands in partition ``source=<tag>/run=<n>/batch_id=<id>`` of a
+folder with dynamic partition overwrite: a replay of the same batch (after a
 failure, ``foreachBatch`` is at-least-once) replaces exactly what the first
-attempt wrote, and concurrent queries with different tags never touch each
-other's partitions.
+attempt wrote, and concurrent queries with different tags, or a later run with
+a new checkpoint, never touch each other's partitions.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+PARTITIONS = ("source", "run", "batch_id")
 
-def write_batch(df: DataFrame, path: str, tag: str, batch_id: int, fmt: str = "parquet",
-                max_files: int | None = None) -> None:
-    out = df.withColumn("source", F.lit(tag)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-    if max_files:
-        out = out.coalesce(max_files)
+
+def write_batch(df: DataFrame, path: str, tag: str, batch_id: int, fmt: str = "parquet", run: int = 0) -> None:
+    out = (df.withColumn("source", F.lit(tag)).withColumn("run", F.lit(int(run)).cast("long"))
+           .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "batch_id")
+     .partitionBy(*PARTITIONS)
      .format(fmt)
      .save(path))
 

@@ -35,12 +35,32 @@ def _event_json(ts_text: Column, action: Column) -> Column:
     ))
 
 
+#: Dense feed: this many seconds of the table are one second of the feed.
+DENSITY = 720
+
+
+def dense_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed events with their times drawn together, so that windows of seconds
+    hold several events of a user; ``day`` is the day in the table."""
+    ev = typed_events(spark, sf_dir)
+    first = ev.agg(F.min(F.unix_micros(F.col("timestamp").cast("timestamp")))).first()[0] or 0
+    since = F.unix_micros(F.col("timestamp").cast("timestamp")) - F.lit(first)
+    time = F.timestamp_micros(F.lit(first) + F.expr(f"_since div {DENSITY}")).cast("timestamp_ntz")
+    return (ev.withColumn("day", F.to_date("timestamp")).withColumn("_since", since)
+            .withColumn("timestamp", time).withColumn("event_time", F.col("timestamp")).drop("_since"))
+
+
 def event_payloads(spark: SparkSession, sf_dir: str, spoil: bool = True) -> DataFrame:
     """(event_id, event_time, value) with ``value`` the event JSON text."""
-    ev = typed_events(spark, sf_dir)
+    return payloads_of(typed_events(spark, sf_dir), spoil)
+
+
+def payloads_of(ev: DataFrame, spoil: bool = True) -> DataFrame:
+    """``event_payloads`` of typed events (further columns are kept)."""
+    others = [c for c in ("day",) if c in ev.columns]
     full_ts = F.date_format(F.col("timestamp"), EVENT_TIMESTAMP_PATTERN)
     if not spoil:
-        return ev.select("event_id", "event_time", _event_json(full_ts, F.col("action")).alias("value"))
+        return ev.select("event_id", "event_time", *others, _event_json(full_ts, F.col("action")).alias("value"))
     m = F.col("event_id") % SPOIL_MODULUS
     no_fraction = F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
     text = _event_json(F.when(m == 1, no_fraction).otherwise(full_ts), F.when(m != 3, F.col("action")))
@@ -48,5 +68,5 @@ def event_payloads(spark: SparkSession, sf_dir: str, spoil: bool = True) -> Data
              .when(m == 0, F.expr("substring(_j, 1, length(_j) - 1)"))
              .when(m == 2, F.regexp_replace(F.col("_j"), '"user_id":(-?[0-9]+)', '"user_id":"$1"'))
              .otherwise(F.col("_j")))
-    return (ev.select("event_id", "event_time", text.alias("_j"))
-            .select("event_id", "event_time", value.alias("value")))
+    return (ev.select("event_id", "event_time", *others, text.alias("_j"))
+            .select("event_id", "event_time", *others, value.alias("value")))

@@ -1,6 +1,6 @@
 """The streaming job: four queries over one event source.
 
-raw      classified text -> foreachBatch(RawEventsHandler), append
+raw      classified text, keys tagged by state -> foreachBatch(RawEventsHandler), append
 archive  parsed events -> Parquet file sink (exactly-once via its log)
 5s, 1min watermarked window counts -> foreachBatch(WindowBatchHandler), update
 
@@ -12,31 +12,34 @@ in one partition, and the stateful aggregate shuffles on (window, user) anyway.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Settings
 from ..functions.parse import classify, good_rows
 from ..operators.windows import counts_for
 from ..sinks.outputs import Outputs
-from .handlers import RawEventsHandler, WindowBatchHandler
+from ..sinks.runs import claim_run
+from ..sources.dimension import Dimension
+from .handlers import RawEventsHandler, WindowBatchHandler, tagged_raw_rows
 
 
 def _trigger(writer, settings: Settings, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=settings.trigger)
 
 
-def start_queries(spark: SparkSession, source: DataFrame, users: DataFrame, outputs: Outputs,
+def start_queries(spark: SparkSession, source: DataFrame, users: Dimension, outputs: Outputs,
                   settings: Settings, checkpoint_root: str, available_now: bool = False,
                   name_prefix: str = "") -> list[StreamingQuery]:
-    """Start the four queries on a ``value`` stream and return them."""
+    """Start the four queries on a ``value`` stream and return them. Their
+    outputs carry the checkpoint's run number."""
     ckpt = checkpoint_root.rstrip("/")
+    outputs.run = claim_run(spark, outputs.root, ckpt)
     classified = classify(source)
     parsed = good_rows(classified)
     started = []
 
-    raw = (classified.writeStream.outputMode("append")
-           .foreachBatch(RawEventsHandler(outputs, settings, settings.raw_unique_across_batches))
+    raw = (tagged_raw_rows(classified, settings).writeStream.outputMode("append")
+           .foreachBatch(RawEventsHandler(outputs, settings))
            .option("checkpointLocation", f"{ckpt}/user_events"))
     started.append(_trigger(raw, settings, available_now).queryName(f"{name_prefix}raw").start())
 
@@ -48,7 +51,7 @@ def start_queries(spark: SparkSession, source: DataFrame, users: DataFrame, outp
     for spec in settings.windows:
         counts = counts_for(parsed, spec, streaming=True)
         agg = (counts.writeStream.outputMode("update")
-               .foreachBatch(WindowBatchHandler(spec, users, outputs, settings, settings.alert_new_only))
+               .foreachBatch(WindowBatchHandler(spec, users, outputs, settings))
                .option("checkpointLocation", f"{ckpt}/user_activity_summary_{spec.name}"))
         started.append(_trigger(agg, settings, available_now).queryName(f"{name_prefix}agg_{spec.name}").start())
     return started
@@ -66,8 +69,3 @@ def run_until_done(queries: list[StreamingQuery]) -> None:
 def await_any(spark: SparkSession) -> None:
     """Block until any query ends (the job ends with it)."""
     spark.streams.awaitAnyTermination()
-
-
-def event_time_utc(df: DataFrame, col: str = "event_time") -> DataFrame:
-    """Watermarks need TIMESTAMP (with zone); naive UTC input is cast under UTC."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))

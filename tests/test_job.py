@@ -7,6 +7,7 @@ import tempfile
 
 from eventide.config import Settings
 from eventide.sinks.outputs import Outputs
+from eventide.sources.dimension import fixed
 from eventide.sources.streams import file_stream
 from eventide.streaming.job import start_queries
 
@@ -20,7 +21,7 @@ def test_processing_time_queries_and_await_any(spark):
         f.write("{broken\n")
     users = spark.createDataFrame([(1, "Ann", "EU")], "user_id int, name string, region string")
     out = Outputs(spark, root, Settings())
-    queries = start_queries(spark, file_stream(spark, src), users, out, Settings(trigger="1 second"), ckpt)
+    queries = start_queries(spark, file_stream(spark, src), fixed(users), out, Settings(trigger="1 second"), ckpt)
     try:
         assert len(queries) == 4 and all(q.isActive for q in queries)
         for q in queries:

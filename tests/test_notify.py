@@ -22,7 +22,7 @@ def test_render_and_filter(spark):
     assert len(out) == 1
     assert out[0]["message"] == (
         "⚠️ Anomaly detected:\nUser: 7 (Unknown)\nRegion: ASIA\nCount: 12\n"
-        "Window: 2024-01-01T00:00:00 - 2024-01-01T00:01:00\nZ-score: 5.500000\nSeverity: high")
+        "Window: 2024-01-01T00:00:00 - 2024-01-01T00:01:00\nZ-score: 5.5\nSeverity: high")
     assert MESSAGE_TEMPLATE.count("%") == 8
 
 

@@ -105,7 +105,7 @@ def test_tail_of_the_job_audit_log(spark):
     out = stream_outputs(spark, SF001)
     log = spark.read.schema(LOG_SCHEMA).json(out.path("logs"))
     types = {r["type"] for r in log.select("type").distinct().collect()}
-    assert types == {"raw_batch", "agg_batch"}
+    assert types == {"raw_batch", "agg_batch", "anomaly"}
     first = log.agg(F.min("logged_at")).first()[0]
     page = tail_log(log, first, n=10).collect()
     assert len(page) == 10
