@@ -28,7 +28,7 @@ from ..config import Settings
 from ..operators import anomaly as AN
 from ..operators.tail import tail_log
 from ..schemas import DOCUMENT_SCHEMA, LETTER_SCHEMA, MESSAGE_SCHEMA
-from ..session import scratch_path
+from ..session import scratch_path, use_utc
 from ..sinks.outputs import Outputs
 from ..sinks.runs import Folder
 from ..sources.dimension import fixed
@@ -133,6 +133,7 @@ def stream_outputs(spark: SparkSession, sf_dir: str, feed: Feed = ordered_feed)
     Streaming plans get no adaptive coalescing and the state keeps the
     partition count of its first run, so the run has a session of its own with
     one shuffle partition per core."""
+    use_utc(spark)
     key = (spark.sparkContext.applicationId, feed.__name__,
            table_state(spark, sf_dir, ("events", "customer", "nation", "region")))
     with _RUNS_LOCK:
