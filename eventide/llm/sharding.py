@@ -27,40 +27,53 @@ ROWS_PER_BLOCK = 200_000
 LEAST_BLOCKS = 64
 
 
+#: Standard deviations on either side of the mode that a count can lie in: beyond, less than 1e-31 is left.
+REACH = 12
+
+
+def hypergeometric_law(good: int, bad: int, n: int) -> tuple[int, np.ndarray]:
+    """Smallest count and the probabilities of it and those above it, for the
+    number of good places among ``n`` drawn from ``good + bad``. The ratios of
+    neighbouring probabilities are rational, so the law is built from its mode
+    outwards to double precision, whatever the size of the numbers."""
+    low, high = max(0, n - bad), min(n, good)
+    mode = min(high, max(low, (n + 1) * (good + 1) // (good + bad + 2)))
+    total = good + bad
+    spread = math.sqrt(n * (good / total) * (bad / total) * ((total - n) / max(total - 1, 1))) if total else 0.0
+    reach = math.ceil(REACH * spread) + REACH
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    # log of p(k + 1) / p(k)
+    steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log((bad - n) + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    weights = np.exp(logs - logs.max())
+    return first, weights / weights.sum()
+
+
+def hypergeometric(draw: np.random.Generator, good: int, bad: int, n: int) -> int:
+    first, law = hypergeometric_law(good, bad, n)
+    return first + min(int(np.searchsorted(np.cumsum(law), draw.random(), "right")), len(law) - 1)
+
+
 def communication_matrix(block_sizes: list[int], shards: int, seed: int) -> np.ndarray:
     """Counts by block and shard with exact row and column sums, drawn row by
-    row without replacement from the shards' remaining places."""
+    row without replacement from the shards' remaining places: of a row's
+    places, those in one shard are hypergeometric given the shards before."""
     total = sum(block_sizes)
-    left = np.full(shards, total // shards, np.int64)
-    left[: total % shards] += 1
+    left = [total // shards + (j < total % shards) for j in range(shards)]
     draw = np.random.Generator(np.random.PCG64(seed))
     out = np.zeros((len(block_sizes), shards), np.int64)
     for i, n in enumerate(block_sizes):
-        # numpy's method for sums over 10**9; exact for smaller sums as well
-        out[i] = _draw(draw, left, n)
-        left -= out[i]
+        places = sum(left)
+        for j in range(shards):
+            places -= left[j]
+            got = hypergeometric(draw, left[j], places, n) if n else 0
+            out[i, j] = got
+            left[j] -= got
+            n -= got
     return out
 
 
-def _draw(draw: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    if left.sum() < 1_000_000_000:
-        return draw.multivariate_hypergeometric(left, n, method="marginals")
-    # numpy's hypergeometric stops at 10**9: split the places in halves of the sample by the normal limit
-    got, rest, places = np.zeros_like(left), n, int(left.sum())
-    for j, own in enumerate(left[:-1].tolist()):
-        if places - own <= 0 or rest <= 0:
-            got[j] = min(own, rest)
-        else:
-            p = own / places
-            spread = math.sqrt(max(rest * p * (1 - p) * (places - rest) / max(places - 1, 1), 0.0))
-            low, high = max(0, rest - (places - own)), min(own, rest)
-            got[j] = min(high, max(low, round(draw.normal(rest * p, spread))))
-        rest -= int(got[j])
-        places -= own
-    got[-1] = rest
-    return got
-
-
 def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED,
                rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """One row per row of ``docs`` with its shard and slot.
