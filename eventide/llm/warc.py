@@ -18,7 +18,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -27,8 +27,11 @@ from .common import table, written
 LEAST_PAYLOAD = 100
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
-#: Captures without a crawl time get one from their page_id, a second apart from this one on.
-FIRST_CAPTURE = 1_704_067_200
+#: Captures without a crawl time get one from their page_id: a second apart from
+#: this one on, modulo some thirty years, so ids may be hashes of any size.
+FIRST_CAPTURE, CAPTURE_SPAN = 1_704_067_200, 1_000_000_000
+#: Records of one archive file, which bounds what a reader takes in as one value.
+FILE_RECORDS = 5_000
 
 ENTRY = ("urlkey string, captured string, page_id long, payload_bytes long, payload_digest string, "
          "record_type string, refers_to long, archive string, offset long")
@@ -60,8 +63,9 @@ def records(pages: DataFrame, kinds: DataFrame) -> DataFrame:
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     uri = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\x00-\x20\x7F]", "%20")
-    when = F.date_format(F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(F.col("page_id"), F.lit(0))),
-                         "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    second = F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(CAPTURE_SPAN))
+    days = (F.timestamp_seconds(F.lit(FIRST_CAPTURE) + second))
+    when = F.date_format(F.to_utc_timestamp(days, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     head = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit("\r\n"))
     value = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -81,7 +85,8 @@ def records(pages: DataFrame, kinds: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, least_payload: int = LEAST_PAYLOAD) -> None:
     """Gzipped WARC files under ``path`` (one gzip stream a file)."""
     kinds = written(resolve(pages, least_payload), "warc-kinds")
-    records(pages, kinds).write.option("lineSep", END).option("compression", "gzip").text(path)
+    records(pages, kinds).write.option("lineSep", END).option("compression", "gzip").option(
+        "maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 class BadArchive(ValueError):
@@ -112,13 +117,13 @@ def url_key(url: str) -> str:
     that is no URL is its own key."""
     try:
         parts = urlsplit(url)
-        host = parts.hostname
+        host, port = parts.hostname, parts.port
     except ValueError:
-        host = None
+        host = port = None
     if not host:
         return url.lower()
     tail = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
-    return f"{','.join(reversed(host.split('.')))}){tail.lower()}"
+    return f"{','.join(reversed(host.split('.')))}{f':{port}' if port else ''}){tail.lower()}"
 
 
 def _page(name: str) -> int | None:
@@ -217,7 +222,7 @@ OUT_ROWS = 20_000
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge the pieces of runs that fell into this range. A piece arrives in
-    its run's order; ``capture_order`` grows over all ranges."""
+    its run's order; ``nth`` is a capture's place in the range ``part``."""
     pieces: dict[str, list[tuple]] = {}
     for batch in batches:
         for entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -226,11 +231,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for run in pieces.values():
         if any(order_of(a) > order_of(b) for a, b in zip(run, run[1:], strict=False)):
             run.sort(key=order_of)
-    schema = _SCHEMA.append(pa.field("capture_order", pa.int64()))
-    place = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+    schema = _SCHEMA.append(pa.field("part", pa.int64())).append(pa.field("nth", pa.int64()))
+    place = TaskContext.get().partitionId() if TaskContext.get() else 0
     out = []
     for n, entry in enumerate(LoserTree([iter(r) for r in pieces.values()])):
-        out.append((*entry, place + n))
+        out.append((*entry, place, n))
         if len(out) == OUT_ROWS:
             yield _batch(out, schema)
             out = []
@@ -239,10 +244,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def capture_index(runs: DataFrame) -> DataFrame:
     """All captures with ``capture_order``, their place in the global order by
-    URL key, time and page. The ranges cut through a URL with many captures,
-    so no key has to fit in one task."""
-    return runs.repartitionByRange("urlkey", "captured", "page_id", "archive", "offset").mapInArrow(
-        _merge, f"{ENTRY}, capture_order long")
+    URL key, time and page (0, 1 ...). The ranges cut through a URL with many
+    captures, so no key has to fit in one task; a range begins behind as many
+    captures as the ranges before it hold (a number for each)."""
+    order = ["urlkey", "captured", F.col("page_id").asc_nulls_last(), "archive", "offset"]
+    merged = written(runs.repartitionByRange(*order).mapInArrow(_merge, f"{ENTRY}, part long, nth long"), "warc-merged")
+    sizes = merged.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    return merged.join(F.broadcast(begins), "part").withColumn("capture_order", F.col("begin") + F.col("nth")).drop(
+        "part", "nth", "begin")
 
 
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
@@ -263,16 +274,24 @@ def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured", "capture_order")
 
 
 SQL = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
   FROM pages),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
+u AS (
+  SELECT page_id, regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:@]+)(:[0-9]+)?([/?][^#]*)?', ['host', 'port', 'tail']) AS x,
+         strftime(make_timestamp((1704067200 + page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured
+  FROM pages),
+k AS (
+  SELECT page_id, captured, array_to_string(list_reverse(string_split(x.host, '.')), ',') || x.port || ')' ||
+         CASE WHEN x.tail LIKE '/%' THEN x.tail ELSE '/' || x.tail END AS urlkey FROM u)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
-FROM f
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to, urlkey, captured,
+       CAST(row_number() OVER (ORDER BY encode(urlkey), captured, page_id) - 1 AS BIGINT) AS capture_order
+FROM f JOIN k USING (page_id)
 """
