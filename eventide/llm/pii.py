@@ -1,13 +1,15 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame
 functions only.
 
-Base rules give the seed entities. Every identifier-like unit of a text (a
-token with a digit or an at sign, or a run of numbers) is an instance; the
-words around it are its lexical patterns. Spark scores the pattern-instance
-graph in rounds: a pattern is worth the share of its instances that are known
-entities of one kind, an unseen instance is worth the noisy-or of the trusted
-patterns it occurs in, and goes into the next round's pattern scores. Units in
-trusted patterns at the end are added to the base spans.
+Base rules give the seed entities of four kinds; long mixed hexadecimal units
+are seeds of a fifth, secrets. Every identifier-like unit of a text (a token with
+a digit or an at sign, or a run of numbers) is an instance; the words around it
+are its lexical patterns. Spark scores the pattern-instance graph in rounds: a
+pattern is worth the share of its instances that are known entities of one kind,
+an unseen instance is worth the noisy-or of the trusted patterns it occurs in,
+and goes into the next round's pattern scores. A pattern that is trusted once
+stays so, and rounds go on until no pattern is added. Secrets, and units in
+trusted patterns at the end, are added to the base spans.
 
 Positions are code points. They come from the pieces between matches
 (``split``) and the matches (``regexp_extract_all``) of the same pattern.
@@ -15,12 +17,17 @@ Positions are code points. They come from the pieces between matches
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
+#: Added spans can be of these kinds.
+SECRET = "secret"
+ADDED_KINDS = (*KINDS, SECRET)
+#: Seeds of secrets: long hexadecimal units with both digits and letters.
+SECRET_RULE = r"^(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,}$"
 
 #: The base rules. Possessive loops match the same strings as greedy ones here
 #: (what follows a loop is never in its class) and cannot overflow the stack;
@@ -33,12 +40,13 @@ RULES = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Identifier-like units.
-UNIT = (r"(?:\G|(?<![A-Za-z0-9._%+-]))(?:[A-Za-z0-9._%+-]*+@[A-Za-z0-9.@-]*+|[+]?[0-9][0-9\x20().-]*[0-9]"
+UNIT = (r"(?:\G|(?<![A-Za-z0-9._%+-]))(?:[A-Za-z0-9._%+-]*+@[A-Za-z0-9.@-]*+|[+]?[0-9][0-9\x20().-]*[0-9](?![A-Za-z0-9])"
         r"|[A-Za-z._%+-]*+[0-9][A-Za-z0-9._%+-]*+)")
 #: Code points on either side of a unit that its context words may reach over.
 CONTEXT = 64
 
-ROUNDS = 3
+#: More rounds than any chain of patterns seen; reaching it is an error, not a result.
+MOST_ROUNDS = 200
 LEAST_SUPPORT = 5.0
 LEAST_PRECISION = 0.8
 LEAST_SCORE = 0.9
@@ -51,28 +59,65 @@ def _empty(kind: str) -> Column:
     return F.expr(f"cast(array() as array<{kind}>)")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(sizes: Column) -> Column:
+    """Sums of an array of numbers before each of its places."""
+    zero = F.struct(F.lit(0).alias("at"), _empty("int").alias("out"))
+    return F.aggregate(sizes, zero, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(
+        s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+
+#: Numbers added up one by one; the sums of such runs are added up in turn, and
+#: the sums of those, so that an array of n costs far less than its square.
+RUN = 32
+
+
+def _starts(sizes: Column, levels: int = 3) -> Column:
+    """``_running`` for long arrays: within runs, and over the sums of runs."""
+    if not levels:
+        return _running(sizes)
+
+    def whole(all_sizes: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_sizes) - 1) / RUN).cast("int")),
+                           lambda b: F.slice(all_sizes, b * RUN + 1, RUN))
+        return _bound(runs, lambda r: F.flatten(F.zip_with(
+            r, _starts(F.transform(r, lambda own: F.aggregate(own, F.lit(0), lambda s, n: s + n)), levels - 1),
+            lambda own, before: F.transform(_running(own), lambda n: n + before))))
+
+    return F.when(F.size(sizes) == 0, _empty("int")).otherwise(_bound(sizes, whole))
+
+
 def placed(text: Column, rule: str, asked: Column, context: bool = False) -> Column:
     """Matches of a rule with their places: array of (start, end, word), and
     with ``context`` the ends of the pieces on either side."""
     words = F.regexp_extract_all(text, F.lit(rule), 0)
     gaps = F.split(text, rule, -1)
     kind = SPAN if not context else UNIT_SPAN
-    zero = F.struct(F.lit(0).alias("at"), _empty(kind).alias("out"))
 
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + F.length(x["gap"])
-        end = start + F.length(x["word"])
-        fields = [start.alias("start"), end.alias("end"), x["word"].alias("word")]
-        if context:
-            fields += [F.substring(x["gap"], -CONTEXT, CONTEXT).alias("before"),
-                       F.substring(x["next"], 1, CONTEXT).alias("after")]
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(*fields))).alias("out"))
+    def found(x: Column) -> Column:
+        def fields(start: Column, w: Column) -> list[Column]:
+            return [start.alias("start"), (start + F.length(w["word"])).cast("int").alias("end"), w["word"].alias("word")]
+
+        pairs = F.zip_with(F.slice(x["gaps"], 1, F.size(x["words"])), x["words"],
+                           lambda g, w: F.struct(g.alias("gap"), w.alias("word")))
+        begins = _starts(F.transform(pairs, lambda p: F.length(p["gap"]) + F.length(p["word"])))
+        spans = F.zip_with(begins, pairs, lambda at, p: F.struct(
+            *fields((at + F.length(p["gap"])).cast("int"), p),
+            *([F.substring(p["gap"], -CONTEXT, CONTEXT).alias("before")] if context else [])))
+        if not context:
+            return spans
+        behind = F.slice(x["gaps"], 2, F.size(x["words"]))
+        return F.zip_with(spans, behind, lambda m, g: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"), m["word"].alias("word"), m["before"].alias("before"),
+            F.substring(g, 1, CONTEXT).alias("after")))
 
-    n = F.size(words)
-    pairs = F.zip_with(
-        F.slice(gaps, 1, n), F.zip_with(words, F.slice(gaps, 2, n), lambda w, g: F.struct(w.alias("word"), g.alias("next"))),
-        lambda g, x: F.struct(g.alias("gap"), x["word"].alias("word"), x["next"].alias("next")))
-    return F.when(asked, F.aggregate(pairs, zero, step, lambda s: s["out"])).otherwise(_empty(kind))
+    split = F.struct(words.alias("words"), gaps.alias("gaps"))
+    none = _empty(kind)
+    return F.when(asked, _bound(split, lambda x: F.when(F.size(x["words"]) > 0, found(x)).otherwise(none))).otherwise(none)
 
 
 def digits(word: Column) -> Column:
@@ -105,7 +150,14 @@ def _checks(kind: str):
     return lambda m: valid(kind, m["word"])
 
 
+#: Digits from which a number that is no card was meant as one.
+CARD_LIKE = 12
+
+
 def _fails(kind: str):
+    """Matches that look like the kind and are not. A short number is not a bad card."""
+    if kind == "card":
+        return lambda m: ~valid(kind, m["word"]) & (F.length(digits(m["word"])) >= CARD_LIKE)
     return lambda m: ~valid(kind, m["word"])
 
 
@@ -134,31 +186,49 @@ def marked(docs: DataFrame) -> DataFrame:
 
 def instances(rows: DataFrame) -> DataFrame:
     """One row per unit: its kind if a base span overlaps it (the first kind
-    listed), whether a failed match does, and its patterns."""
-    overlaps = lambda spans: F.exists(spans, lambda m: (m["start"] < F.col("u.end")) & (m["end"] > F.col("u.start")))
-    units = rows.select("row", *KINDS, "failed", F.explode("units").alias("u"))
-    kind = F.lit(None).cast("string")
+    listed) or it is a secret by rule, whether a failed match overlaps it, and
+    its patterns.
+
+    Spans sorted by start and units by end are swept once per document: a span
+    of a kind overlaps a unit if one that began before the unit's end reaches
+    beyond its start."""
+    blank = {"word": F.lit(""), "left": F.lit(""), "left_two": F.lit(""), "right": F.lit("")}
+    words = lambda of: [of(c).alias(c) for c in blank]
+
+    def spans(name: str) -> Column:
+        return F.transform(name, lambda m: F.struct(
+            m["start"].alias("place"), F.lit(name).alias("span"), m["start"].alias("start"), m["end"].alias("end"),
+            *words(blank.get)))
+
+    units = F.transform("units", lambda u: F.struct(
+        u["end"].alias("place"), F.lit("").alias("span"), u["start"].alias("start"), u["end"].alias("end"),
+        *words(u.getField)))
+    swept = rows.filter(F.size("units") > 0).select("row", F.inline(F.concat(units, *map(spans, (*KINDS, "failed")))))
+    # at one place the unit that ends there comes before the span that begins there
+    so_far = Window.partitionBy("row").orderBy("place", F.col("span") != "").rowsBetween(Window.unboundedPreceding, 0)
+    reach = {k: F.max(F.when(F.col("span") == k, F.col("end"))).over(so_far) for k in (*KINDS, "failed")}
+    met = swept.select("*", *[c.alias(f"reach_{k}") for k, c in reach.items()]).filter("span = ''")
+    overlaps = lambda k: F.coalesce(F.col(f"reach_{k}") > F.col("start"), F.lit(False))
+    kind = F.when(F.col("word").rlike(SECRET_RULE), F.lit(SECRET))
     for k in reversed(KINDS):
         kind = F.when(overlaps(k), F.lit(k)).otherwise(kind)
-    pattern = lambda side, word: F.when(word != "", F.concat(F.lit(side), word))
-    patterns = F.array_compact(F.array(
-        pattern("left:", F.col("u.left")), pattern("two:", F.col("u.left_two")), pattern("right:", F.col("u.right"))))
-    return units.select("row", F.col("u.start").alias("start"), F.col("u.end").alias("end"),
-                        F.col("u.word").alias("word"), kind.alias("kind"), overlaps("failed").alias("failed"),
-                        patterns.alias("patterns"))
+    pattern = lambda side, word: F.when(F.col(word) != "", F.concat(F.lit(side), word))
+    patterns = F.array_compact(F.array(pattern("left:", "left"), pattern("two:", "left_two"), pattern("right:", "right")))
+    return met.select("row", "start", "end", "word", kind.alias("kind"), overlaps("failed").alias("failed"),
+                      patterns.alias("patterns"))
 
 
 def _pattern_scores(graph: DataFrame, scores: DataFrame | None) -> DataFrame:
     """Trusted patterns with their kind and precision. ``graph`` has one row
     per (pattern, instance); ``scores`` the worth of unseen instances."""
-    worth = {k: F.when(F.col("kind") == k, 1.0).otherwise(0.0) for k in KINDS}
+    worth = {k: F.when(F.col("kind") == k, 1.0).otherwise(0.0) for k in ADDED_KINDS}
     if scores is not None:
         graph = graph.join(scores, "word", "left")
         unseen = F.col("kind").isNull() & ~F.col("failed")
         worth = {k: F.when(F.col("kind") == k, 1.0).when(
-            unseen & (F.col("scored_kind") == k), F.coalesce("score", F.lit(0.0))).otherwise(0.0) for k in KINDS}
-    sums = graph.groupBy("pattern").agg(F.count("*").alias("n"), *[F.sum(worth[k]).alias(k) for k in KINDS])
-    best = F.greatest(*[F.struct(F.col(k).alias("worth"), F.lit(k).alias("kind")) for k in KINDS])
+            unseen & (F.col("scored_kind") == k), F.coalesce("score", F.lit(0.0))).otherwise(0.0) for k in ADDED_KINDS}
+    sums = graph.groupBy("pattern").agg(F.count("*").alias("n"), *[F.sum(worth[k]).alias(k) for k in ADDED_KINDS])
+    best = F.greatest(*[F.struct(F.col(k).alias("worth"), F.lit(k).alias("kind")) for k in ADDED_KINDS])
     return sums.select("pattern", (best["worth"] / F.col("n")).alias("precision"), best["worth"].alias("support"),
                        best["kind"].alias("pattern_kind")).filter(
         (F.col("support") >= LEAST_SUPPORT) & (F.col("precision") >= LEAST_PRECISION)).select(
@@ -177,24 +247,34 @@ def _noisy_or(found: DataFrame, *by: str) -> DataFrame:
 
 def discovered(rows: DataFrame) -> DataFrame:
     """Added spans: row, kind, start, end."""
-    units = instances(rows)
+    units = written(instances(rows), "pii-units")
     graph = written(
         units.select("word", "kind", "failed", F.explode("patterns").alias("pattern")).groupBy("pattern", "word").agg(
             F.max("kind").alias("kind"), F.max("failed").alias("failed")), "pii-graph")
-    trusted = _pattern_scores(graph, None)
-    for _ in range(ROUNDS - 1):
-        unseen = graph.filter("kind is null and not failed")
+    unseen = graph.filter("kind is null and not failed")
+    trusted = written(_pattern_scores(graph, None), "pii-patterns")
+    n = trusted.count()
+    for _ in range(MOST_ROUNDS):
         scores = _noisy_or(unseen.join(trusted, "pattern"), "word")
-        trusted = written(_pattern_scores(graph, scores), "pii-patterns")
+        now = _pattern_scores(graph, scores).withColumnsRenamed({"precision": "new", "pattern_kind": "new_kind"})
+        trusted = written(trusted.join(now, "pattern", "full").select(
+            "pattern", F.greatest("precision", "new").alias("precision"),
+            F.coalesce("pattern_kind", "new_kind").alias("pattern_kind")), "pii-patterns")
+        before, n = n, trusted.count()
+        if n == before:
+            break
+    else:
+        raise RuntimeError(f"patterns were still being added after {MOST_ROUNDS} rounds")
     found = units.filter("kind is null and not failed").select(
         "row", "start", "end", F.explode("patterns").alias("pattern")).join(trusted, "pattern")
-    return _noisy_or(found, "row", "start", "end").filter(F.col("score") >= LEAST_SCORE).select(
+    by_pattern = _noisy_or(found, "row", "start", "end").filter(F.col("score") >= LEAST_SCORE).select(
         "row", F.col("scored_kind").alias("kind"), "start", "end")
+    return units.filter(F.col("kind") == SECRET).select("row", "kind", "start", "end").unionByName(by_pattern)
 
 
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(
-        F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
+        F.array(*map(F.lit, ADDED_KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -208,7 +288,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     of_kind = lambda spans, i: F.transform(spans, lambda s: F.struct(
         F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     base = F.concat(*[of_kind(F.col(k), i) for i, k in enumerate(KINDS)])
-    place = {k: i for i, k in enumerate(KINDS)}
+    place = {k: i for i, k in enumerate(ADDED_KINDS)}
     number = F.lit(0)
     for k, i in place.items():
         number = F.when(F.col("kind") == k, F.lit(i)).otherwise(number)
