@@ -6,7 +6,6 @@ Python worker once and never stored in the repository."""
 
 from __future__ import annotations
 
-import functools
 import json
 
 import regex
@@ -73,7 +72,6 @@ class Vocabulary:
             yield None, text[at:] if at else text
 
 
-@functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    """One per Python worker."""
+    """Read a vocabulary (the operators keep what they build from it once per worker)."""
     return Vocabulary(path)

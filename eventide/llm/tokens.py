@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe_tables import Vocabulary, default_path, vocabulary
-from .common import slices, strings, table
+from .common import slices, strings, table, tidy, worker_cache
 
 LIMIT = 512
 #: Pre-tokens remembered by a worker before the memo starts anew.
@@ -119,17 +119,15 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
                      pa.array(counter.counts(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn(
+    return rows.mapInArrow(tidy(run, "tokens"), "doc_id long, n_bytes long, n_tokens long").withColumn(
         "over_limit", F.col("n_tokens") > limit)
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def _counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(vocabulary(path))
-    return _COUNTERS[path]
+    kept = worker_cache("tokens")
+    if path not in kept:
+        kept[path] = Counter(vocabulary(path))
+    return kept[path]
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
