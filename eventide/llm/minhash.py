@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import (U64, mix, prefix_sums, row_key, sized, slices, strings, table, window_hashes, without,
+from .common import (U64, mix, prefix_sums, row_key, sized, slices, strings, table, tidy, window_hashes, without,
                      word_arrays, written)
 
 SHINGLE = 5
@@ -108,9 +108,14 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
+#: Signatures made at once.
+SIGNED_ROWS = 256
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", 1 << 20):
+        # a signature takes as much memory for a short text as for a long one
+        for batch in slices(whole, "text", 1 << 20, SIGNED_ROWS):
             h, d, counts, digest = shingles(strings(batch, "text"))
             keys = band_keys(signatures(h, d, batch.num_rows)).view(np.int64)
             has = counts > 0
@@ -123,7 +128,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", 1 << 20):
             h, d, _, _ = shingles(strings(batch, "text"))
             cuts = np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -185,7 +190,7 @@ def tested_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     return written(
         pairs.join(sets, "node").join(sets.toDF("leader", "others"), "leader")
         .select("node", "leader", "elements", "others")
-        .mapInArrow(lambda it: _checked(it, threshold), "node long, leader long, near boolean"), "checked")
+        .mapInArrow(tidy(lambda it: _checked(it, threshold)), "node long, leader long, near boolean"), "checked")
 
 
 def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -205,7 +210,7 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     texts = docs.select(*row_key(), F.col("text")).join(
         sized(wanted, wanted.count()), ["__id", "__text"]).select("node", "text")
     # a row repeated in the table gives its set several times; one stays
-    sets = written(texts.mapInArrow(_sets, "node long, elements array<long>").dropDuplicates(["node"]), "sets")
+    sets = written(texts.mapInArrow(tidy(_sets), "node long, elements array<long>").dropDuplicates(["node"]), "sets")
 
     def verified(members: DataFrame, tested: DataFrame | None) -> DataFrame:
         """Pairs of members with their bucket's leader that are of different
@@ -247,14 +252,14 @@ def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD)
     # Sketches first name few links that would join most classes. Then texts
     # of different classes that may be near, directly or through others, form
     # a family, and each set is sent once, to its family.
-    def named(least: float) -> DataFrame:
-        return written(in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches, lambda t: _forest(t, threshold, least),
-                                  "node long, leader long"), "named")
+    def named(least: float, families: bool) -> DataFrame:
+        return written(in_buckets(members, F.lit(1), BLOCK_SKETCHES, sketches,
+                                  lambda t: _forest(t, threshold, least, families), "node long, leader long"), "named")
 
-    checked = tested_pairs(named(K * threshold), open_sets, threshold)
+    checked = tested_pairs(named(K * threshold, False), open_sets, threshold)
     roots = merged_roots(roots, checked.filter("near").select("node", "leader"))
     members = mixed(rooted(members.select("bucket", "node"), roots))
-    families = components(named(least_agreeing(threshold))).toDF("node", "bucket")
+    families = components(named(least_agreeing(threshold), True)).toDF("node", "bucket")
     relatives = mixed(rooted(families, roots)).join(sketches.select("node", "size"), "node")
     found = written(in_buckets(relatives, F.col("size"), BLOCK_ELEMENTS, open_sets,
                                lambda t: _linked(t, threshold), "node long, leader long"), "compared")
@@ -303,8 +308,8 @@ def least_agreeing(threshold: float) -> float:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One byte of each coordinate of the signature."""
     for whole in batches:
-        for begin in range(0, whole.num_rows, 256):
-            batch = whole.slice(begin, 256)
+        for begin in range(0, whole.num_rows, SIGNED_ROWS):
+            batch = whole.slice(begin, SIGNED_ROWS)
             lists = batch.column(1)
             sizes = np.diff(lists.offsets.to_numpy())
             signed = signatures(lists.flatten().to_numpy().view(U64), np.repeat(np.arange(len(sizes)), sizes), len(sizes))
@@ -317,11 +322,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sketched(sets: DataFrame, members: DataFrame) -> DataFrame:
     """node, size, sketch of the nodes of ``members``."""
     return written(sets.join(members.select("node").distinct(), "node").select("node", "elements").mapInArrow(
-        _sketches, "node long, size int, sketch binary"), "sketches")
+        tidy(_sketches), "node long, size int, sketch binary"), "sketches")
 
 
-def _forest(group: pa.Table, threshold: float, least: float) -> pa.Table:
-    """Links between classes whose sketches agree in ``least`` places, fewer than members."""
+def _forest(group: pa.Table, threshold: float, least: float, families: bool) -> pa.Table:
+    """Links between classes whose sketches agree in ``least`` places, fewer
+    than members. For ``families``, where only what hangs together counts, each
+    member is linked to the smallest of its tree: buckets that hold the same
+    members, as the shingles of one passage do, then give the same links."""
     sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, K)
     nodes, size, found = group["node"].to_pylist(), group["size"].to_numpy(), []
     _, root = np.unique(group["root"].to_numpy(), return_inverse=True)
@@ -335,6 +343,12 @@ def _forest(group: pa.Table, threshold: float, least: float) -> pa.Table:
             if label[j] != label[i]:
                 found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
                 label[label == label[j]] = label[i]
+    if families:
+        ends = np.array(nodes, np.int64)
+        least_of = np.full(len(nodes), np.iinfo(np.int64).max)
+        np.minimum.at(least_of, label, ends)
+        away = np.flatnonzero(least_of[label] != ends)
+        found = list(zip(ends[away].tolist(), least_of[label][away].tolist(), strict=True))
     return links(found)
 
 
@@ -394,7 +408,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     table gives no rows. Only doc_id and text are read."""
     rows = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), "text")
-        .mapInArrow(_sign, "doc_id long, __id long, __text long, digest binary, bands array<long>")
+        .mapInArrow(tidy(_sign), "doc_id long, __id long, __text long, digest binary, bands array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "signed")
     # one node per word sequence, its first row (nulls, coded as the smallest id, must not win)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "__id", "__text", "row")).alias("first")
