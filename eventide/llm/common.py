@@ -3,8 +3,10 @@ shared folder, and array functions used inside Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -48,6 +50,44 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What the tasks of one operator keep between them on a Python worker.
+    Workers go on to other stages, so what other operators kept is dropped."""
+    for name in [name for name in _CACHES if name != owner]:
+        del _CACHES[name]
+    return _CACHES.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Return freed memory to the system: the allocators of Python and Arrow
+    would keep it for the worker's life, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches], owner: str = "") -> Callable[[Batches], Batches]:
+    """``run`` for mapInArrow, as a task that leaves its worker as it found it
+    but for the owner's cache."""
+    @functools.wraps(run)
+    def tidied(batches: Batches) -> Batches:
+        worker_cache(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def text_or_empty(name: str = "text") -> F.Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -59,19 +99,29 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+#: Powers kept for ever; longer runs of them are made for each call, so a worker keeps 1 MB whatever it has met.
+KEPT_POWERS = 1 << 16
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the power of 0 .. n mod 2**64, as the product of two short runs."""
+    low = np.cumprod(np.r_[U64(1), np.full(4095, base, U64)], dtype=U64)
+    high = np.cumprod(np.r_[U64(1), np.full(n >> 12, pow(base, 4096, 1 << 64), U64)], dtype=U64)
+    return np.multiply.outer(high, low).reshape(-1)[: n + 1]
+
+
 class Powers:
-    """Powers of ``BASE`` and of its inverse mod 2**64, grown on demand."""
+    """Powers of ``BASE`` and of its inverse mod 2**64."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, U64)
+        self.up, self.down = self._both(KEPT_POWERS)
+
+    @staticmethod
+    def _both(n: int) -> tuple[np.ndarray, np.ndarray]:
+        return powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            m = max(n + 1, 1 << 16, 2 * len(self.up))
-            inverse = pow(BASE, -1, 1 << 64)
-            self.up = np.cumprod(np.r_[U64(1), np.full(m, BASE, U64)], dtype=U64)
-            self.down = np.cumprod(np.r_[U64(1), np.full(m, inverse, U64)], dtype=U64)
-        return self.up, self.down
+        return (self.up, self.down) if n <= KEPT_POWERS else self._both(n)
 
 
 POWERS = Powers()
@@ -95,9 +145,11 @@ def window_hashes(values: np.ndarray, k: int, sums: np.ndarray | None = None) ->
     return mix((sums[k:] - sums[:n]) * down[:n])
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20,
+           most_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece holds about ``most_bytes`` of the string
-    column (one row at least), which bounds the Python objects alive at once."""
+    column (one row at least) and ``most_rows``, which bounds the Python objects
+    alive at once."""
     array = batch.column(batch.schema.get_field_index(column))
     if not len(array):
         return
@@ -105,7 +157,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Ite
     begin = 0
     while begin < len(sizes):
         base = sizes[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(sizes, base + most_bytes, "right")))
+        end = max(begin + 1, min(begin + most_rows, int(np.searchsorted(sizes, base + most_bytes, "right"))))
         yield batch.slice(begin, end - begin)
         begin = end
 
@@ -152,11 +204,11 @@ def without(docs: DataFrame, removed: DataFrame, repeated: bool) -> DataFrame:
     """``docs`` without the rows whose key is in ``removed`` (__id, __text);
     ``repeated`` says that some rows share a key: one of each then stays."""
     removed = written(removed.distinct(), "removed")
-    keyed = docs.select("*", *row_key())
+    keyed = docs.select(F.struct("*").alias("row"), *row_key())  # the row's own columns may have any names
     out = keyed.join(sized(removed, removed.count()), ["__id", "__text"], "left_anti")
     if repeated:
         out = out.dropDuplicates(["__id", "__text"])
-    return out.select(*docs.columns)
+    return out.select("row.*")
 
 
 def word_arrays(texts: list[str], is_word: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

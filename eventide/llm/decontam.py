@@ -9,8 +9,8 @@ benchmark grows; each block is one pass over the documents.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, run_edges, slices, strings, table, window_hashes, written
+from .common import U64, run_edges, slices, strings, table, tidy, window_hashes, worker_cache, written
 
 WINDOW = 10
 #: Most benchmark words in one broadcast block; about 100 bytes each on a worker.
@@ -94,11 +94,17 @@ FOUND = f"`{N_WORDS}` long, `{HITS}` array<struct<from:long,to:long>>, `{ITEMS}`
 
 
 def _scan(block, columns: list[str], n: int):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Windows(block.value, n)
+        kept = worker_cache("decontam")
+        if name not in kept:  # built once per worker, and one block at a time
+            kept.clear()
+            kept[name] = Windows(block.value, n)
+        known = kept[name]
         kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 counts, hits, items = [], [], []
                 for text in strings(batch, "text"):
                     words = words_of(text)
@@ -111,7 +117,7 @@ def _scan(block, columns: list[str], n: int):
                     [batch.column(c) for c in columns]
                     + [pa.array(counts, pa.int64()), pa.array(hits, kind), pa.array(items, pa.list_(pa.string()))],
                     [*columns, N_WORDS, HITS, ITEMS])
-    return run
+    return tidy(run, "decontam")
 
 
 def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str | None, str]]]:

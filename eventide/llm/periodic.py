@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, strings, table
+from .common import slices, strings, table, tidy
 
 #: Least words of a run, and least number of its periods.
 LEAST, TIMES = 12, 2
@@ -212,7 +212,7 @@ def find_runs(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], ["doc_id", *names])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, RESULT)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), RESULT)
 
 
 def periodic_tail(doc_id: int, n: int) -> np.ndarray | None:

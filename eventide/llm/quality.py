@@ -15,15 +15,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, mix, prefix_sums, POWERS, slices, strings, table
+from .common import U64, mix, prefix_sums, POWERS, slices, strings, table, tidy
 
 PASSAGE_WORDS = 50
 #: Most labelled rows of the sample that the model is fitted on (parameter ``fit_rows``).
 FIT_ROWS = 6000
+#: Most bytes of text in the sample (parameter ``fit_bytes``).
+FIT_BYTES = 64 << 20
+#: Bytes of text encoded at once (its features take some thirty times as much).
+SLICE = 1 << 19
 THRESHOLD = 0.3
 FOLDS = 5
 SEED = 7
@@ -181,23 +185,30 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> DataFrame:
     """text and quality of at most ``fit_rows`` labelled documents outside
-    the held-out fold, the first by a hash of their id. An id with several
-    labels counts as 1 if any is. The labels are joined as a broadcast: their
-    number is bounded by the sample."""
+    the held-out fold, the first by a hash of their id, as long as their texts
+    have ``fit_bytes`` in all. An id with several labels counts as 1 if any is;
+    one on several rows gives one of its texts. The labels are joined as a
+    broadcast: their number is bounded by the sample."""
     chosen = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
         .withColumnsRenamed({"doc_id": "__id", "label": "__label"}))
-    found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    return found.select(F.col("__id").alias("doc_id"), F.col("__label").alias("label"), F.col("text"))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select(
+        F.col("__id").alias("doc_id"), F.col("__label").alias("label"), F.col("text"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"))
+    # one text of each id; a window over at most fit_rows rows adds up their bytes
+    one = found.groupBy("doc_id").agg(F.min("hash").alias("hash"), F.max("size").alias("size"))
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = one.withColumn("bytes", F.sum("size").over(in_order)).filter(F.col("bytes") <= fit_bytes).select("doc_id", "hash")
+    return found.join(F.broadcast(fits), ["doc_id", "hash"]).dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", SLICE):
             features, owner = encode_passages(strings(batch, "text"))
             cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             blobs = [features[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -205,11 +216,11 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["doc_id", "label", "features"])
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit on the driver from the sample's passage features (bounded by
-    ``fit_rows`` documents)."""
-    sample = training_sample(docs, labels, fit_rows).mapInArrow(
-        _bags, "doc_id long, label double, features binary").collect()
+    ``fit_rows`` documents of ``fit_bytes``)."""
+    sample = training_sample(docs, labels, fit_rows, fit_bytes).mapInArrow(
+        tidy(_bags), "doc_id long, label double, features binary").collect()
     sample.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     bags = [np.frombuffer(r["features"], np.float32).reshape(-1, FEATURES) for r in sample]
     return fit(bags, np.array([r["label"] for r in sample], np.float64))
@@ -219,13 +230,13 @@ def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
     """``docs`` with the score of each row's text in column ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", SLICE):
                 features, owner = encode_passages(strings(batch, "text"))
                 score = model.score(features, owner, batch.num_rows)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())],
                                                  [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -242,9 +253,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows that the classifier does not reject, all columns."""
-    return with_score(docs, train(docs, labels, fit_rows), "__score").filter(
-        F.col("__score") >= THRESHOLD).select(*docs.columns)
+    """The rows that the classifier does not reject, all columns (which may
+    have any names)."""
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return with_score(docs, train(docs, labels, fit_rows), name).filter(F.col(name) >= THRESHOLD).select(*docs.columns)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
