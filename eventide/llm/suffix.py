@@ -40,8 +40,12 @@ from .common import (U64, mix, prefix_sums, row_key, run_edges, sized, slices, s
                      window_hashes, written)
 
 LENGTH = 400
-#: Rows of the table whose parsed texts form one packet of fingerprints.
-PACKET_BITS = 8
+#: Bytes of the texts that form one packet of fingerprints, on average: dealt by
+#: hash, so a packet's size is bounded by this and its longest text.
+PACKET_BYTES = 1 << 20
+LEAST_PACKETS = 16
+#: Ranges of the merge in one task.
+TASK_RANGES = 16
 #: Bytes of candidate text in one range of the merge, on average.
 RANGE_BYTES = 4 << 20
 LEAST_RANGES = 64
@@ -308,7 +312,8 @@ def merge_rest(texts: DataFrame, length: int) -> DataFrame:
     ranges = max(LEAST_RANGES, -(-size // RANGE_BYTES))
     runs = texts.groupBy("packet").applyInArrow(
         lambda t: _packed(t, length, ranges), "range long, packet long, prints binary")
-    masks = runs.groupBy("range").applyInArrow(_compared, "range long, packet long, mask binary")
+    # as many tasks as the text asks for, so that none grows with the table
+    masks = runs.repartition(max(LEAST_RANGES, -(-ranges // TASK_RANGES)), "range").groupBy("range").applyInArrow(_compared, "range long, packet long, mask binary")
     return texts.groupBy("packet").cogroup(masks.groupBy("packet")).applyInArrow(
         lambda t, m: _resolved(t, m, length, ranges), RESULT)
 
@@ -344,8 +349,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if repeated:
         candidates = candidates.dropDuplicates(["tid"])
     candidates = candidates.join(marks, "tid")
+    size = rows.join(marks.select("tid"), "tid", "left_semi").agg(F.sum("n_bytes")).first()[0] or 0
+    packets = max(LEAST_PACKETS, -(-size // PACKET_BYTES))
     candidates = written(candidates.select(
-        "tid", F.shiftright("tid", PACKET_BITS).alias("packet"), "text", "names", "spans"), "candidates")
+        "tid", F.pmod(F.xxhash64("tid"), F.lit(packets)).alias("packet"), "text", "names", "spans"), "candidates")
     found = merge_rest(candidates, length)
 
     whole = (F.col("n") > 1) & (F.col("n_bytes") >= length)
