@@ -135,22 +135,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))], ["node", "elements"])
 
 
-def _checked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Weighted Jaccard of pairs from their sorted elements."""
-    for batch in batches:
-        near = []
-        for a, b in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = a.values.to_numpy(), b.values.to_numpy()
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            near.append(same >= threshold * (len(x) + len(y) - same))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.bool_())],
-                                         ["node", "leader", "near"])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) for all nodes of ``edges``
     (node, leader), by minimum labels and pointer jumping."""
-    both = written(edges.select("node", "leader").union(edges.select("leader", "node")).toDF("node", "other"), "edges")
+    # both ends from one pass: a union would run what gives the edges twice
+    ends = F.array(*[F.struct(F.col(a).alias("node"), F.col(b).alias("other"))
+                     for a, b in (("node", "leader"), ("leader", "node"))])
+    both = written(edges.select(F.inline(ends)), "edges")
     labels = written(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "labels")
     while True:
         seen = both.join(labels.toDF("other", "root"), "other").groupBy("node").agg(F.min("root").alias("near"))
@@ -182,15 +173,18 @@ def merged_roots(roots: DataFrame | None, near: DataFrame) -> DataFrame:
 
 
 #: Bands are joined in these rounds.
-BAND_ROUNDS = ((0, 2), (2, 8), (8, BANDS))
+BAND_ROUNDS = ((0, 4), (4, BANDS))
 
 
 def tested_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` (node, leader) with ``near``, decided on the sets themselves."""
+    """``pairs`` (node, leader) with ``near``: weighted Jaccard on the sets
+    themselves. Spark intersects the arrays (a set holds no element twice), so
+    that a popular leader's pairs may be cut into many tasks and none starts Python."""
+    same = F.size(F.array_intersect("elements", "others"))
+    either = F.size("elements") + F.size("others") - same
     return written(
         pairs.join(sets, "node").join(sets.toDF("leader", "others"), "leader")
-        .select("node", "leader", "elements", "others")
-        .mapInArrow(tidy(lambda it: _checked(it, threshold)), "node long, leader long, near boolean"), "checked")
+        .select("node", "leader", (same >= F.lit(float(threshold)) * either).alias("near")), "checked")
 
 
 def class_roots(nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
